@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recfuse.llm import tokens
+from recfuse.llm import langid, tokens
 from recfuse.session import table
 
 
@@ -26,8 +26,17 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.doubtful(langid.document_segments(table(spark, sf_dir, "documents"))).select("doc_id", "start_pos", "lang")
+
+
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every segment of every document, with its language and confidence."""
+    return langid.document_segments(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p8_ids": p8_ids, "p8_round_trip": p8_round_trip}
+    return {"p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p10_found": p10_found, "p10_segments": p10_segments}
 
 
 def oracle_sql() -> dict[str, str]:
