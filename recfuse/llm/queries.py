@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recfuse.llm import langid, tokens
+from recfuse.llm import canonical, langid, tokens
 from recfuse.session import table
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapped = canonical.map_skills(table(spark, sf_dir, "output_default"), table(spark, sf_dir, "skill_ref"))
+    return mapped.select("row_id", "skill_pos", "skill_id")
+
+
+def p5_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the name, the entry's canonical name and the score."""
+    return canonical.map_skills(table(spark, sf_dir, "output_default"), table(spark, sf_dir, "skill_ref"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -36,7 +46,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p10_found": p10_found, "p10_segments": p10_segments}
+    return {"p5_found": p5_found, "p5_mapped": p5_mapped, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p10_found": p10_found, "p10_segments": p10_segments}
 
 
 def oracle_sql() -> dict[str, str]:
