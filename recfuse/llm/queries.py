@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recfuse.llm import canonical, langid, tokens
+from recfuse.llm import canonical, langid, survivor, tokens
 from recfuse.session import table
 
 
@@ -21,6 +21,19 @@ def p5_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.map_skills(table(spark, sf_dir, "output_default"), table(spark, sf_dir, "skill_ref"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims = survivor.profile_claims(*[table(spark, sf_dir, t) for t in ("output_default", "output_ats_export")])
+    return survivor.survivors(claims).select("group_id", "field", "row_id")
+
+
+def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One surviving profile per duplicate group."""
+    tables = [table(spark, sf_dir, t) for t in ("output_default", "output_ats_export")]
+    return survivor.surviving_profiles(*tables).select(
+        "group_id", "full_name", "headline", "years_experience", F.array_join("emails", "; ").alias("emails")
+    )
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -46,7 +59,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_mapped": p5_mapped, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p10_found": p10_found, "p10_segments": p10_segments}
+    return {"p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p10_found": p10_found, "p10_segments": p10_segments}
 
 
 def oracle_sql() -> dict[str, str]:
