@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recfuse.llm import canonical, langid, survivor, tokens
-from recfuse.session import table
+from recfuse.llm import canonical, langid, packing, survivor, tokens
+from recfuse.session import durable, table
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,16 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p9_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = tokens.encode_corpus(table(spark, sf_dir, "documents")).select("doc_id", F.size("ids").cast("long").alias("size"))
+    return packing.pack(durable(sized), table(spark, sf_dir, "pack_capacity"))
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    return packing.fill_report(durable(p9_bins(spark, sf_dir)), table(spark, sf_dir, "pack_capacity"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.doubtful(langid.document_segments(table(spark, sf_dir, "documents"))).select("doc_id", "start_pos", "lang")
 
@@ -59,7 +69,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p10_found": p10_found, "p10_segments": p10_segments}
+    return {"p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
 
 
 def oracle_sql() -> dict[str, str]:
