@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recfuse.llm import canonical, langid, packing, survivor, tokens
+from recfuse.llm import canonical, langid, packing, pii, survivor, tokens
 from recfuse.session import durable, table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = [table(spark, sf_dir, t) for t in ("recruiter_sample", "ats_sample")]
+    found = pii.find_mentions(pii.texts_of(*tables), pii.fit_on(*tables))
+    return found.select("tbl", "row_id", "start_pos", "kind")
+
+
+def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The free texts with typed placeholders in the place of personal information."""
+    tables = [table(spark, sf_dir, t) for t in ("recruiter_sample", "ats_sample")]
+    return pii.redact(pii.texts_of(*tables), pii.fit_on(*tables))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = canonical.map_skills(table(spark, sf_dir, "output_default"), table(spark, sf_dir, "skill_ref"))
     return mapped.select("row_id", "skill_pos", "skill_id")
@@ -69,7 +81,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
+    return {"p3_found": p3_found, "p3_redacted": p3_redacted, "p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
 
 
 def oracle_sql() -> dict[str, str]:
