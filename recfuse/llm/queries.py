@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recfuse.llm import canonical, langid, packing, pii, survivor, tokens
+from recfuse.llm import canonical, langid, packing, pii, survivor, tokens, variants
 from recfuse.session import durable, table
 
 
@@ -23,6 +23,19 @@ def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(pii.texts_of(*tables), pii.fit_on(*tables))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = variants.organisation_names(table(spark, sf_dir, "ats_sample"), table(spark, sf_dir, "recruiter_sample"))
+    return variants.name_pairs(durable(variants.link_variants(names)))
+
+
+def p4_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with the number of its organisation and of the spellings that share it."""
+    names = variants.organisation_names(table(spark, sf_dir, "ats_sample"), table(spark, sf_dir, "recruiter_sample"))
+    linked = durable(variants.link_variants(names))
+    sizes = linked.groupBy("kind", "cluster").agg(F.count(F.lit(1)).alias("n_spellings"))
+    return linked.join(sizes, ["kind", "cluster"]).select("kind", "name", "cluster", "n_spellings")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = canonical.map_skills(table(spark, sf_dir, "output_default"), table(spark, sf_dir, "skill_ref"))
     return mapped.select("row_id", "skill_pos", "skill_id")
@@ -81,7 +94,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p3_redacted": p3_redacted, "p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
+    return {"p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p4_clusters": p4_clusters, "p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
 
 
 def oracle_sql() -> dict[str, str]:
