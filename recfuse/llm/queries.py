@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recfuse.llm import canonical, langid, packing, pii, survivor, tokens, variants
+from recfuse.llm import canonical, langid, matching, packing, pii, survivor, tokens, variants
 from recfuse.session import durable, table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_matches(spark, sf_dir).select("recruiter_row_id", "ats_row_id")
+
+
+def p1_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matching rows with the marginal probability of the match."""
+    return matching.match_people(table(spark, sf_dir, "recruiter_sample"), table(spark, sf_dir, "ats_sample"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = [table(spark, sf_dir, t) for t in ("recruiter_sample", "ats_sample")]
     found = pii.find_mentions(pii.texts_of(*tables), pii.fit_on(*tables))
@@ -94,7 +103,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p4_clusters": p4_clusters, "p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
+    return {"p1_found": p1_found, "p1_matches": p1_matches, "p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p4_clusters": p4_clusters, "p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
 
 
 def oracle_sql() -> dict[str, str]:
