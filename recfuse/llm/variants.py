@@ -201,11 +201,12 @@ def _band_hashes(text: Column) -> Column:
     padded = F.concat(F.lit("^" * (Q - 1)), text, F.lit("$" * (Q - 1)))
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - (Q - 1)), lambda i: F.substring(padded, i, F.lit(Q))))
     hashed = F.transform(grams, lambda g: F.xxhash64(g))
-    # Independent hashes of a gram: xxhash of its hash with the seed.
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.xxhash64(b, *[F.array_min(F.transform(hashed, lambda h, r=r: F.xxhash64(h, b * ROWS + r))) for r in range(ROWS)]),
-    )
+
+    def least(seed: Column) -> Column:
+        # Independent hashes of a gram: xxhash of its hash with the seed.
+        return F.array_min(F.transform(hashed, lambda h: F.xxhash64(h, seed)))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, *[least(b * ROWS + r) for r in range(ROWS)]))
 
 
 def slip(a: str, b: str, sure: bool) -> bool:
