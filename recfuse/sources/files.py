@@ -24,7 +24,7 @@ def sniff_encoding(head: bytes) -> str:
     for mark, name in BOMS:
         if head.startswith(mark):
             return name
-    for cut in range(4):  # the head may end inside a character
+    for cut in range(4 if len(head) >= 8192 else 1):  # a full head may end inside a character
         try:
             head[: len(head) - cut].decode("utf-8")
             return "utf-8"
