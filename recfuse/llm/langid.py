@@ -50,6 +50,7 @@ class TrainConfig:
     rounds: int = 2
     rate: float = 8.0
     batch: int = 256
+    least_steps: int = 600  # small samples are passed over more often
     seed: int = 7
     min_probability: float = 0.6  # calibrated; below it a unit is undecided
     min_letters: int = 9  # a unit with fewer letters is undecided
@@ -225,9 +226,11 @@ def _softmax_fit(feats: list[np.ndarray], y: np.ndarray, cfg: TrainConfig, rng:
     share = np.bincount(y, minlength=k)
     weight = (share.sum() / np.maximum(share, 1) / k)[y].astype(np.float32)
     weight = np.minimum(weight, 5)
-    steps = max(1, cfg.epochs * ((y.size + cfg.batch - 1) // cfg.batch))
+    per_epoch = (y.size + cfg.batch - 1) // cfg.batch
+    epochs = max(cfg.epochs, -(-cfg.least_steps // per_epoch))
+    steps = epochs * per_epoch
     step = 0
-    for _ in range(cfg.epochs):
+    for _ in range(epochs):
         order = rng.permutation(y.size)
         for s in range(0, y.size, cfg.batch):
             rate = cfg.rate * (1 - step / steps)
