@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recfuse.session import spread
+
 NODE_SCHEMA = (
     "node_id long, parent_id long, depth int, key string, pos long, kind string,"
     " path string, filled boolean, members array<string>, text string"
@@ -230,11 +232,12 @@ def index_batch(texts: list[str]) -> tuple[list[int], dict[str, list]]:
 BATCH_BYTES = 4 << 20
 
 
-def json_nodes(df: DataFrame, keys: list[str], field: str) -> DataFrame:
+def json_nodes(df: DataFrame, keys: list[str], field: str, balance: bool = True) -> DataFrame:
     """Node table of a JSON string column: one row per JSON value, linked child to parent.
 
     Columns are ``keys`` (of any type) and those of ``NODE_SCHEMA``. Null, empty and damaged texts
     give no row; a repeated key gives the nodes of each of its texts. Other columns are not read.
+    ``balance`` splits a table of few partitions over all cores first.
     """
     picked = df.select(*keys, F.col(field).cast("string").alias("json_body")).where(F.col("json_body").isNotNull())
     key_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
@@ -260,7 +263,7 @@ def json_nodes(df: DataFrame, keys: list[str], field: str) -> DataFrame:
         columns += [pa.array(nodes[f], _ARROW_FIELDS[f]) for f in _NODE_FIELDS]
         return pa.RecordBatch.from_arrays(columns, names=[*keys, *_NODE_FIELDS])
 
-    return picked.mapInArrow(run, f"{key_ddl}, {NODE_SCHEMA}")
+    return (spread(picked) if balance else picked).mapInArrow(run, f"{key_ddl}, {NODE_SCHEMA}")
 
 
 def filled_struct(element: Column, fields: list[str]) -> Column:
@@ -322,7 +325,7 @@ def payload_elements(raw: DataFrame, key: str = "row_id", field: str = "raw_fiel
         F.lit(-1).cast("long").alias("child_pos"),
     )
     in_text = lean.where((F.col("kind") == "string") & F.col("path").rlike(_JOB) & F.col("text").rlike(r"^\s*[\[{]"))
-    unpacked = json_nodes(in_text.withColumnRenamed("path", "outer"), [key, "outer"], "text").select(
+    unpacked = json_nodes(in_text.withColumnRenamed("path", "outer"), [key, "outer"], "text", balance=False).select(
         key, F.concat("outer", F.substring("path", 2, 1 << 30)).alias("path"), "kind", "filled", "members"
     )
     job_objects = lean.select(key, "path", "kind", "filled", "members").unionByName(unpacked)

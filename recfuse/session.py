@@ -35,6 +35,15 @@ def durable(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least one partition per core, for work that costs far more than moving its rows.
+
+    A table that is already split that far, as any large one is, stays as it is.
+    """
+    want = cores(df.sparkSession)
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
+
+
 def cores(spark: SparkSession) -> int:
     """Parallelism of the session, for sizing exchanges that AQE does not coalesce."""
     return max(1, spark.sparkContext.defaultParallelism)
