@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recfuse.session import spread
+
 LANGUAGES = ("en", "de", "fr", "es", "pt", "it", "nl", "pl", "sv", "ru")
 
 #: Notations of languages: codes of two and three letters, English and own names. Fixed values.
@@ -45,11 +47,11 @@ class TrainConfig:
     docs_per_language: int = 400
     max_chars: int = 800  # of a training document; classification reads whole texts
     bits: int = 17
-    dim: int = 12
-    epochs: int = 5
+    dim: int = 8
+    epochs: int = 3
     rounds: int = 2
     rate: float = 8.0
-    batch: int = 256
+    batch: int = 128
     least_steps: int = 600  # small samples are passed over more often
     seed: int = 7
     min_probability: float = 0.6  # calibrated; below it a unit is undecided
@@ -248,7 +250,7 @@ def _softmax_fit(feats: list[np.ndarray], y: np.ndarray, cfg: TrainConfig, rng:
             back = p @ out.T
             out -= rate * (mean.T @ p)
             bias -= rate * p.sum(0)
-            grad = np.repeat(back / n[:, None], n, 0) * (rate * rows.size / 8)
+            grad = np.repeat(back / n[:, None], n, 0) * (rate * 32)
             uniq, inv = np.unique(ids, return_inverse=True)
             for j in range(d):
                 emb[uniq, j] -= np.bincount(inv, grad[:, j], uniq.size).astype(np.float32)
@@ -363,7 +365,7 @@ def document_segments(
             )
 
     picked = docs.select(F.col(key), F.col(text).cast("string").alias("body"), label_language(F.col(label)).alias("label_lang"))
-    return picked.mapInArrow(
+    return spread(picked).mapInArrow(
         run, f"`{key}` {key_type}, start_pos long, lang string, confidence double, n_segments int, label_lang string"
     )
 

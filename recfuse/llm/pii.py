@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recfuse.session import spread
+
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 
@@ -428,7 +430,8 @@ def find_mentions(texts: DataFrame, model: Model) -> DataFrame:
             )
 
     schema = "tbl string, row_id long, start_pos long, end_pos long, kind string, confidence double"
-    return texts.select("tbl", F.col("row_id").cast("long").alias("row_id"), F.col("body").cast("string").alias("body")).mapInArrow(run, schema)
+    picked = texts.select("tbl", F.col("row_id").cast("long").alias("row_id"), F.col("body").cast("string").alias("body"))
+    return spread(picked).mapInArrow(run, schema)
 
 
 def redact(texts: DataFrame, model: Model) -> DataFrame:
@@ -447,4 +450,4 @@ def redact(texts: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["tbl", "row_id", "redacted"])
 
     picked = texts.select("tbl", F.col("row_id").cast("long").alias("row_id"), F.col("body").cast("string").alias("body"))
-    return picked.mapInArrow(run, "tbl string, row_id long, redacted string")
+    return spread(picked).mapInArrow(run, "tbl string, row_id long, redacted string")

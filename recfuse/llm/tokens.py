@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recfuse.session import durable
+from recfuse.session import durable, spread
 
 #: Characters of text in a block; bounds the memory of a task. A longer text is a block by itself.
 BLOCK_CHARS = 1_500_000
@@ -107,7 +107,7 @@ def _blocks(docs: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
             yield flush()
 
     picked = docs.select(F.col(key).alias("doc_key"), F.col(text).cast("string").alias("body"))
-    return picked.mapInArrow(run, f"block long, doc_key {key_type}, words array<int>, slot int, word string")
+    return spread(picked).mapInArrow(run, f"block long, doc_key {key_type}, words array<int>, slot int, word string")
 
 
 def encode_corpus(
