@@ -17,6 +17,7 @@ from recfuse.operators import identity, mapping, validation
 from recfuse.operators.projection import MINIMAL, Projection, project, to_output_json
 from recfuse.plans.pipeline import PipelineConfig, run
 from recfuse.schema import MERGE_STRATEGIES
+from recfuse.session import ship
 from recfuse.sources import files
 
 
@@ -70,6 +71,7 @@ def main(argv: list[str] | None = None) -> int:
         print("no input", file=sys.stderr)
         return 2
     spark = SparkSession.builder.appName("recfuse").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    ship(spark)
     records = load(spark, args)
     if records is None:
         print("no input could be read", file=sys.stderr)
