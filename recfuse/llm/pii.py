@@ -82,7 +82,7 @@ _ADDRESSES = [
     ("flat", re.compile(rf"\b(?:Flat|Apt\.?|Apartment|Unit|Suite|Wohnung|Appt\.?)\s+\w{{1,4}},\s*\d{{1,4}}\w?\s+(?:[\w'’-]+\s+){{1,3}}(?:{_STREET_AFTER})\b\.?", re.I)),
     ("house", re.compile(rf"\bH\.?\s?No\.?\s*\d[\d/-]*,\s*(?:[\w'’-]+\s+){{1,3}}(?:{_STREET_AFTER})\b", re.I)),
     ("number_before", re.compile(rf"(?<![\w./-])\d{{1,4}}\s?[A-Za-z]?(?:\s(?:bis|ter))?,?\s+(?:{_STREET_BEFORE})\s+(?:(?:de\sla|del|della|des|du|de|da|do|di|la|le|les|los|las)\s+|[dl]['’])?[\w'’-]+", re.I)),
-    ("number_street", re.compile(rf"(?<![\w./,-])\d{{1,4}}[A-Za-z]?\s+(?:{_CAP}\s+){{1,3}}(?:{_STREET_AFTER})\b\.?", re.I)),
+    ("number_street", re.compile(rf"(?<![\w./,-])\d{{1,4}}[A-Za-z]?\s+(?:{_CAP}\s+){{1,3}}(?i:{_STREET_AFTER})\b\.?")),
     ("street_number", re.compile(rf"(?<!\w)(?:C/|(?:{_STREET_BEFORE})\s)\s?(?:(?:de\sla|del|della|des|du|de|da|do|di)\s+)?{_CAP}(?:\s+{_CAP})?,?\s+\d{{1,4}}\b")),
     ("compound", re.compile(rf"(?<!\w)[A-ZÀ-ÞА-Я][\w-]*(?:{_STREET_END})\s+\d{{1,4}}\s?[a-z]?\b", re.I)),
     ("at_the", re.compile(rf"(?<!\w)(?:Am|Im|An\sder|Auf\sdem|In\sder|Zum|Zur)\s+{_CAP}\s+\d{{1,4}}\s?[a-z]?\b")),
@@ -102,6 +102,13 @@ TITLES = frozenset(
 _HOMOGRAPHS = frozenset("will may mark grace joy april june summer hope faith rose ray art drew guy sue pat rich jack dawn iris ruby".split())
 
 
+#: Words in small letters that follow a name and are no part of it. Fixed values.
+_FUNCTION_WORDS = frozenset(
+    "about after and asked before came confirmed erreichbar formerly from have says said that their they this went were will with works would über nach sagt"
+    " unter para pour dans avec dice dijo sobre préfère".split()
+)
+
+
 def _initial(text: str, a: int, b: int) -> bool:
     """One capital with a full stop, followed by no letter (J. Doe) but another initial (J.R.)."""
     if b - a != 1 or text[b : b + 1] != "." or not text[a].isupper():
@@ -124,8 +131,13 @@ def name_runs(text: str, given: frozenset[str], family: frozenset[str]) -> list[
             return "I"
         if b - a < 2:
             return ""
-        if low in _HOMOGRAPHS and w[0].isupper() and re.match(r"\s+[a-z]{2,}", text[b : b + 20]) and not _NAME_RIGHT.match(text[b : b + 40]):
-            return ""
+        if low in _HOMOGRAPHS and w[0].isupper() and re.match(r"\s+[a-z]{2,}", text[b : b + 20]):
+            if not _NAME_RIGHT.match(text[b : b + 40]) and not _NAME_LEFT.search(text[max(0, a - 40) : a]):
+                return ""
+        if low in _HOMOGRAPHS and w.islower() and not _NAME_LEFT.search(text[max(0, a - 40) : a]):
+            follows = text[words[k + 1][0] : words[k + 1][1]].lower() if k + 1 < len(words) else ""
+            if follows not in family:
+                return ""
         code = "g" if low in given else "f" if low in family else "o"
         if w[0].isupper():
             return code.upper() if code != "o" else "C"
@@ -141,8 +153,9 @@ def name_runs(text: str, given: frozenset[str], family: frozenset[str]) -> list[
             gap = text[words[j][1] : words[j + 1][0]]
             nxt = fits(j + 1)
             # After a given or family name a lower-case word of the other kind follows, in a text typed without capitals.
-            if not nxt and gap == " " and shapes[-1] == "g" and words[j + 1][1] - words[j + 1][0] >= 4 and text[words[j + 1][0]].islower():
-                nxt = "x"
+            if not nxt and gap == " " and shapes == ["g"] and words[j + 1][1] - words[j + 1][0] >= 4:
+                word = text[words[j + 1][0] : words[j + 1][1]]
+                nxt = "x" if word.islower() and word not in _FUNCTION_WORDS else ""
             if not nxt:
                 break
             if gap == " " or (gap == ". " and shapes[-1] == "I") or (gap == "." and shapes[-1] == "I" and nxt == "I"):
@@ -155,6 +168,9 @@ def name_runs(text: str, given: frozenset[str], family: frozenset[str]) -> list[
             j += 1
             if nxt == "x":
                 break
+        if len(shapes) > 2 and shapes[0] == "C" and shapes[1] == "G" and "," not in shapes:
+            # A place or the last word of a sentence stands before the name.
+            i, shapes = i + 1, shapes[1:]
         end = words[j][1] + (1 if shapes[-1] == "I" else 0)
         out.append(Span(words[i][0], end, "name", "".join(shapes)))
         i = j + 1
@@ -212,7 +228,7 @@ _NAME_LEFT = re.compile(
     re.I,
 )
 _NAME_RIGHT = re.compile(
-    r"^(?:\s(?:says|can\sgive|went\swell|about\sthe|from\sthe\s\w+\sdesk|préfère|and\sran|confirmed)|,\s(?:reachable|formerly)|:\serreichbar|\s<|\s\(|\sin\s\d{4})", re.I
+    r"^(?:\s(?:says|can\sgive|went\swell|about\sthe|from\sthe\s\w+\sdesk|préfère|and\sran|confirmed)|,\s(?:reachable|formerly)|:\serreichbar|\s<|\s\((?:[+(\d]|zero|one|two|three|four|five|six|seven|eight|nine))", re.I
 )
 _NAME_NOT_LEFT = re.compile(
     r"(?:\bat|\bnear|\bto|\bin|\bon|\bde|\bdes|\bdu|\bfor|für|\bcompany|built|maintained|uses|werk|via|joined|formerly\sat|rue|avenue|move\sto|grounding\sin)\s$", re.I
@@ -265,7 +281,8 @@ def votes(text: str, s: Span) -> list[int]:
         v["not_left"] = -1 if _NAME_NOT_LEFT.search(left) and not v["left"] else 0
         v["not_right"] = -1 if _NAME_NOT_RIGHT.match(right) and not v["right"] else 0
         v["common"] = -1 if body.lower().split()[0] in _COMMON and not v["left"] and not v["right"] else 0
-        v["shape"] = -1 if shapes in ("C",) and not (v["left"] or v["right"]) else 0
+        # Capitals alone are names of places and firms as well.
+        v["shape"] = -1 if not v["gazetteer"] and not v["left"] else 0
     return [v[x] for x in LABELERS]
 
 
@@ -371,17 +388,18 @@ def fit(texts: list[str], given: frozenset[str], family: frozenset[str], cfg: Fi
     return Model(weights.astype(np.float32), given, family, cfg.bits, rates)
 
 
-def gazetteer(column_tables: list[tuple[DataFrame, str]], size: int) -> frozenset[str]:
-    """The most frequent words of name columns, lower-cased; at most ``size`` of them reach the driver."""
+def gazetteer(column_tables: list[tuple[DataFrame, str]], size: int) -> dict[str, int]:
+    """The most frequent words of name columns, lower-cased, with counts; at most ``size`` of them reach the driver."""
     parts = [
-        df.select(F.explode(F.regexp_extract_all(F.lower(F.col(c)), F.lit(r"([\p{L}]{2,})"), F.lit(1))).alias("w"))
+        # Addresses, links and numbers in a name column are no names.
+        df.where(~F.col(c).rlike(r"[@\d/:]|\.\w{2,}")).select(F.explode(F.regexp_extract_all(F.lower(F.col(c)), F.lit(r"([\p{L}]{2,})"), F.lit(1))).alias("w"))
         for df, c in column_tables
     ]
     words = parts[0]
     for p in parts[1:]:
         words = words.unionByName(p)
     top = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").orderBy(F.desc("n"), "w").limit(size)
-    return frozenset(r["w"] for r in top.collect())
+    return {r["w"]: r["n"] for r in top.collect()}
 
 
 def texts_of(recruiters: DataFrame, ats: DataFrame) -> DataFrame:
@@ -393,14 +411,17 @@ def texts_of(recruiters: DataFrame, ats: DataFrame) -> DataFrame:
 
 def fit_on(recruiters: DataFrame, ats: DataFrame, cfg: FitConfig = FitConfig()) -> Model:
     """Model for the tables: gazetteers from their name columns, a bounded draw of their texts."""
-    given = gazetteer([(recruiters, "first_name"), (ats, "first_name")], cfg.names)
-    family = gazetteer([(recruiters, "last_name"), (ats, "last_name")], cfg.names)
+    firsts = gazetteer([(recruiters, "first_name"), (ats, "first_name")], cfg.names)
+    lasts = gazetteer([(recruiters, "last_name"), (ats, "last_name")], cfg.names)
+    # Columns get swapped: a word is of the kind that it is typed as more often.
+    given = frozenset(w for w, n in firsts.items() if n > lasts.get(w, 0))
+    family = frozenset(w for w, n in lasts.items() if n >= firsts.get(w, 0))
     bodies = texts_of(recruiters, ats).where(F.length("body") > 0)
     n = bodies.count()
     share = min(1.0, cfg.texts / max(1, n))
     draw = bodies.where(F.pmod(F.xxhash64("row_id", F.lit(cfg.seed)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
     rows = draw.select("row_id", "body").limit(2 * cfg.texts).collect()
-    return fit([r["body"] for r in sorted(rows, key=lambda r: (r["row_id"], r["body"]))], given, family - given, cfg)
+    return fit([r["body"] for r in sorted(rows, key=lambda r: (r["row_id"], r["body"]))], given, family, cfg)
 
 
 def find_mentions(texts: DataFrame, model: Model) -> DataFrame:
