@@ -70,8 +70,8 @@ def _business(token: str, dotted: bool) -> str:
         return token
     if token in BUSINESS_SHORT:
         return BUSINESS_SHORT[token]
-    if len(token) >= 5:
-        near = [w for w in BUSINESS_WORDS if abs(len(w) - len(token)) <= 1 and osa(token, w, 1) <= 1]
+    if len(token) >= 4:
+        near = [w for w in BUSINESS_WORDS if len(w) >= 5 and abs(len(w) - len(token)) <= 1 and osa(token, w, 1) <= 1]
         if near:
             return "|".join(near)
     stem = token.rstrip("s") if dotted and len(token) > 4 else token
@@ -329,7 +329,9 @@ def link_variants(names: DataFrame) -> DataFrame:
     orgs = durable(orgs)
 
     equal = vague.select(F.col("node").alias("a"), "kind", "root").join(orgs.select(F.col("node").alias("b"), "kind", "root"), ["kind", "root"]).select("a", "b")
-    around = equal.unionByName(_pairs_by_band(vague, orgs, ["kind"])).distinct()
+    # Only names whose root nobody has exactly are looked for under slips.
+    slipped = vague.join(equal.select(F.col("a").alias("node")).distinct(), "node", "left_anti")
+    around = durable(equal.unionByName(_pairs_by_band(slipped, orgs, ["kind"])).distinct())
     close = _verify(around, vague, orgs).join(orgs.select(F.col("node").alias("b"), "cluster", F.col("descriptor").alias("b_desc")), "b")
     close = close.join(vague.select(F.col("node").alias("a"), "descriptor"), "a").where(
         (F.col("descriptor") == "") | F.array_contains(F.split("descriptor", r"\|"), F.col("b_desc"))
