@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recfuse.functions.distance import osa
+from recfuse.session import durable
 
 #: Words around a value that say how well it is known, and not what it is. Fixed values.
 _BEFORE = (
@@ -147,9 +148,11 @@ def map_skills(profiles: DataFrame, ref: DataFrame) -> DataFrame:
     values = items.where(F.col("v_flat") != "").groupBy("v_flat", "v_tokens").agg(
         F.min("given_id").alias("low"), F.max("given_id").alias("high"), F.count("given_id").alias("support")
     )
-    forms = reference_forms(ref)
+    # The distinct spellings and their matches are written once; what follows reads small tables.
+    values = durable(values)
+    forms = durable(reference_forms(ref))
     spelled = values.select("v_flat", "v_tokens")
-    direct = match_forms(spelled, forms)
+    direct = durable(match_forms(spelled, forms))
     # Names that rows carry with one canonical value, and that no spelling explains, are further aliases.
     learned = values.groupBy("v_flat").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("support").alias("support"), F.min("v_tokens").alias("v_tokens")
@@ -158,7 +161,7 @@ def map_skills(profiles: DataFrame, ref: DataFrame) -> DataFrame:
         F.col("low").alias("entry_id"), F.col("v_tokens").alias("f_tokens"), F.col("v_flat").alias("f_flat")
     )
     rest = spelled.join(direct.select("v_flat"), "v_flat", "left_anti")
-    found = direct.unionByName(match_forms(rest, novel))
+    found = durable(direct.unionByName(match_forms(durable(rest), durable(novel))))
     names = ref.select(F.col("skill_id").alias("entry_id"), "canonical_name")
     mapped = items.where(F.col("given_id").isNull()).join(found, "v_flat", "left").join(names, "entry_id", "left")
     return mapped.select(

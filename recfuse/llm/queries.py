@@ -106,5 +106,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"p1_found": p1_found, "p1_matches": p1_matches, "p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p4_clusters": p4_clusters, "p5_found": p5_found, "p5_mapped": p5_mapped, "p6_found": p6_found, "p6_survivors": p6_survivors, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
 
 
+_FILLERS = ", ".join("'" + f.replace("'", "''") + "'" for f in survivor.FILLERS)
+_P6_SQL = rf"""
+WITH raw AS (
+  SELECT group_id, row_id, updated_at, f.field, f.v FROM output_default, LATERAL (VALUES ('full_name', full_name), ('headline', headline)) f(field, v) WHERE group_id IS NOT NULL),
+kinds AS (SELECT *, lower(trim(regexp_replace(regexp_replace(v, '<[^<>]*>|&\w+;', ' ', 'g'), '[\s\x{{200b}}]+', ' ', 'g'))) AS k FROM raw),
+good AS (SELECT group_id, row_id, updated_at, field, v, trim(regexp_replace(lower(v), '[\s.\x{{00a0}}…]+', ' ', 'g')) AS p FROM kinds
+  WHERE v IS NOT NULL AND k NOT IN ({_FILLERS}) AND regexp_matches(k, '\p{{L}}') AND NOT regexp_matches(k, '@|://|\bwww\.|^\S+\.(?:com|org|net|example)(?:/\S*)?$') AND NOT (field = 'full_name' AND regexp_matches(v, '\d'))),
+spellings AS (SELECT DISTINCT group_id, field, p FROM good),
+short AS (SELECT DISTINCT a.group_id, a.field, a.p FROM spellings a JOIN spellings b ON a.group_id = b.group_id AND a.field = b.field AND a.p <> b.p
+  WHERE (starts_with(b.p, a.p) AND length(a.p) >= CASE a.field WHEN 'full_name' THEN 2 ELSE 3 END)
+    OR (a.field = 'full_name' AND regexp_full_match(b.p, '(?:\S+ )*' || array_to_string(list_transform(string_split(a.p, ' '), lambda t: CASE WHEN length(t) = 1 THEN t || '\S*' ELSE t END), ' (?:\S+ )*') || '(?: \S+)*'))),
+usable AS (SELECT group_id, field, row_id, updated_at FROM good g WHERE NOT EXISTS (SELECT 1 FROM short s WHERE s.group_id = g.group_id AND s.field = g.field AND s.p = g.p)
+  UNION ALL SELECT group_id, 'years_experience', row_id, updated_at FROM output_ats_export WHERE group_id IS NOT NULL AND years_experience BETWEEN 0 AND 60 AND NOT isnan(years_experience)),
+many AS (SELECT group_id, 'd' AS t FROM output_default GROUP BY 1 HAVING count(*) >= 2 UNION ALL SELECT group_id, 'e' FROM output_ats_export GROUP BY 1 HAVING count(*) >= 2)
+SELECT u.group_id, u.field, arg_max(u.row_id, (u.updated_at, -u.row_id)) AS row_id FROM usable u JOIN many m ON m.group_id = u.group_id AND m.t = CASE u.field WHEN 'years_experience' THEN 'e' ELSE 'd' END GROUP BY 1, 2
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p6_found": _P6_SQL}
