@@ -99,6 +99,8 @@ def test_identity(spark):
     assert strict[1] == 0 and strict[2] == 2
     s = {(x.a, x.b): x for x in identity.score_pairs(identity.key_pairs(identity.hard_keys(r)), r).collect()}
     assert abs(s[0, 1].score - 1.0) < 1e-9 and s[0, 1].signals == ["email_match", "name_company_match"] and abs(s[1, 2].score - 0.85) < 1e-9
+    with pytest.raises(ValueError):
+        identity.clusters(r, identity.MatchSettings(match=0.2))
     g = {x.group_id: x for x in identity.describe_groups(r, identity.clusters(r)).collect()}
     assert g[0].size == 3 and g[0].primary_ord == 0 and not g[0].needs_review and g[5].match_score == 1.0
 
