@@ -258,8 +258,13 @@ def json_flatten_paths(spark, d):
 
 @query()
 def map_vendor_payloads(spark, d):
-    """Vendor payloads as canonical records, by detected shape."""
-    raw = table(spark, d, "raw_record").withColumn("ord", F.col("row_id")).where(F.try_parse_json("raw_fields").isNotNull() & F.col("raw_fields").rlike(r"^\s*\{"))
+    """Vendor payloads as canonical records, by detected shape; an array gives a record per element, ``#`` and its position in the id.
+
+    Text that is no JSON gives none.
+    """
+    whole = table(spark, d, "raw_record").where(F.try_parse_json("raw_fields").isNotNull())
+    each = whole.select(F.col("row_id").alias("ord"), "record_id", F.col("raw_fields").rlike(r"^\s*\[").alias("many"), F.posexplode(files.json_records(F.col("raw_fields"))).alias("i", "raw_fields"))
+    raw = each.withColumn("record_id", F.when(F.col("many"), F.concat_ws("#", "record_id", "i")).otherwise(F.col("record_id")))
     rec = mapping.map_vendor_json(raw)
     return rec.select("record_id", "source_label", "full_name", "first_name", "last_name", F.array_join("emails", ";").alias("emails"), "location")
 

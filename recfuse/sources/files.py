@@ -103,6 +103,12 @@ def raw_records(df: DataFrame, source_type: str, payload: Column, source: Column
     return df.select("ord", F.sha2(F.concat_ws("|", source, F.col("ord").cast("string")), 256).alias("record_id"), source.alias("source"), F.lit(source_type).alias("source_type"), payload.alias("raw_fields"), meta.alias("metadata")).select(*_RAW)
 
 
+def json_records(body: Column) -> Column:
+    """Objects of a whole JSON text: itself, or one per element of an array; another value is wrapped as ``_value``."""
+    texts = F.when(body.rlike(r"^\s*\["), F.from_json(body, "array<string>")).otherwise(F.array(body))
+    return F.transform(texts, lambda one: F.when(one.rlike(r"^\s*\{"), one).otherwise(F.to_json(F.struct(one.alias("_value")))))
+
+
 def read_json(spark: SparkSession, path: str, lines: bool = False, records_key: str | None = None, isolate: bool = True) -> DataFrame:
     """Raw records of JSON: an object is one, an array one per element, another value is wrapped as ``_value``.
 
@@ -113,11 +119,9 @@ def read_json(spark: SparkSession, path: str, lines: bool = False, records_key:
     parse = F.try_parse_json if isolate else F.parse_json
     body = F.col("body") if records_key is None else F.coalesce(F.get_json_object("body", f"$.{records_key}"), F.col("body"))
     parsed = docs.withColumn("body", body).where(parse(F.col("body")).isNotNull())
-    texts = F.when(F.col("body").rlike(r"^\s*\["), F.from_json("body", "array<string>")).otherwise(F.array("body"))
-    rows = position(parsed.select("file", F.posexplode(texts).alias("record_index", "one")))
-    whole = F.when(F.col("one").rlike(r"^\s*\{"), F.col("one")).otherwise(F.to_json(F.struct(F.col("one").alias("_value"))))
+    rows = position(parsed.select("file", F.posexplode(json_records(F.col("body"))).alias("record_index", "whole")))
     meta = F.create_map(F.lit("record_index"), F.col("record_index").cast("string"), F.lit("json_structure"), F.lit("lines" if lines else "document"))
-    return raw_records(rows, "ats", whole, F.col("file"), meta)
+    return raw_records(rows, "ats", F.col("whole"), F.col("file"), meta)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
