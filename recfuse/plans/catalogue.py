@@ -347,11 +347,17 @@ def fuzzy_token_sort_pairs(spark, d):
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, entry_id) AS k FROM p) SELECT query_id, entry_id, round(s, 4) AS score FROM r WHERE k = 1 AND s >= 0.1"""
 )
 def cosine_best_match(spark, d):
-    """Every vector whose id is divisible by 20 against the first vector of each label."""
+    """The vectors of ``cosine_best_match_all`` whose id is divisible by 20; the SQL compares no more."""
+    return cosine_best_match_all(spark, d).where("query_id % 20 = 0")
+
+
+@query()
+def cosine_best_match_all(spark, d):
+    """Every vector against the canonical list, which holds the first vector of each label."""
     t = table(spark, d, "embeddings")
     firsts = t.groupBy("label").agg(F.min("vec_id").alias("vec_id")).select("vec_id")
     index = t.join(firsts, "vec_id").select(F.col("vec_id").alias("entry_id"), "embedding")
-    found = best_by_cosine(t.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), index, 0.1)
+    found = best_by_cosine(t.select(F.col("vec_id").alias("query_id"), "embedding"), index, 0.1)
     return found.select("query_id", "entry_id", F.round("score", 4).alias("score"))
 
 
