@@ -312,7 +312,18 @@ def section_carry_forward(spark, d):
     WHERE NOT regexp_matches(name, '[^\\w\\s.#+/-]') GROUP BY 1"""
 )
 def skill_explode_alias_join(spark, d):
-    names = table(spark, d, "output_default").select(F.explode("skills.name").alias("skill")).where(~F.col("skill").rlike(r"[^\w\s.#+/-]"))
+    """The counts of ``skill_alias_counts_all`` over plain ASCII names; the SQL compares no others."""
+    return _alias_counts(spark, d, ~F.col("skill").rlike(r"[^\w\s.#+/-]"))
+
+
+@query()
+def skill_alias_counts_all(spark, d):
+    """Skills by entry of the skill list, whatever signs their names have."""
+    return _alias_counts(spark, d, F.lit(True))
+
+
+def _alias_counts(spark: SparkSession, d: str, which: Column) -> DataFrame:
+    names = table(spark, d, "output_default").select(F.explode("skills.name").alias("skill")).where(which)
     keyed = names.withColumn("alias", N.skill_key(F.col("skill")))
     return keyed.join(skill_aliases(table(spark, d, "skill_ref")), "alias").groupBy("canonical").agg(F.count(F.lit(1)).alias("n"))
 
