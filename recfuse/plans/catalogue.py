@@ -556,12 +556,18 @@ def fuse_education(spark, d):
     SELECT group_id, arg_max(city, (n, -prio, -ord)) AS city, arg_max(country, (n, -prio, -ord)) AS country FROM (SELECT *, coalesce(city, '') AS c2 FROM p) GROUP BY group_id HAVING max(n) = 3"""
 )
 def fuse_location(spark, d):
-    """The place with the most known parts, for groups that have a full one."""
+    """The places of ``fuse_location_all`` that have a city and a country; the SQL compares no others."""
+    return fuse_location_all(spark, d).where(F.col("city").isNotNull() & F.col("country").isNotNull())
+
+
+@query()
+def fuse_location_all(spark, d):
+    """The place with the most known parts, then the most trusted, of every group."""
     t = table(spark, d, "output_default")
     m = profile_members(spark, d).drop("location").join(t.select(F.col("row_id").alias("ord"), F.col("location").alias("l")), "ord")
     parts = F.struct(F.col("l.city").alias("raw"), F.col("l.city").alias("city"), F.lit(None).cast("string").alias("state"), F.col("l.country").alias("country"))
     f = fusion.fuse_location(m.withColumns({"location_parts": parts, "country_code": F.col("l.country_code")}))
-    return f.where(F.col("place.city").isNotNull() & F.col("place.country").isNotNull()).select("group_id", "place.city", "place.country")
+    return f.select("group_id", "place.city", "place.country")
 
 
 @query()
