@@ -170,10 +170,23 @@ _DATES_SQL = "SELECT row_id, 's' || (i - 1) AS place, e[i].start_date AS v FROM
       ELSE v END AS end_date FROM v WHERE v IS NULL OR NOT regexp_matches(v, '[A-Za-z]{3,}.*\d{4}|^\d{1,2}[./-]\d{1,2}[./-]\d{4}$')"""
 )
 def norm_date(spark, d):
-    """Ends of jobs in uniform notation; named months and three-part dates are tested apart from SQL."""
-    rows = nested.struct_array(table(spark, d, "ats_sample"), "row_id", "experience")
-    plain = rows.where(F.col("end_date").isNull() | ~F.col("end_date").rlike(r"[A-Za-z]{3,}.*\d{4}|^\d{1,2}[./-]\d{1,2}[./-]\d{4}$"))
-    return plain.select("row_id", "pos", N.date(F.col("end_date")).alias("end_date"))
+    """``norm_date_all`` without named months and three-part dates, which the SQL leaves out."""
+    plain = F.col("end_date").isNull() | ~F.col("end_date").rlike(r"[A-Za-z]{3,}.*\d{4}|^\d{1,2}[./-]\d{1,2}[./-]\d{4}$")
+    return _end_dates(_ends(spark, d).where(plain))
+
+
+@query()
+def norm_date_all(spark, d):
+    """Ends of all jobs in uniform notation."""
+    return _end_dates(_ends(spark, d))
+
+
+def _ends(spark: SparkSession, d: str) -> DataFrame:
+    return nested.struct_array(table(spark, d, "ats_sample"), "row_id", "experience")
+
+
+def _end_dates(rows: DataFrame) -> DataFrame:
+    return rows.select("row_id", "pos", N.date(F.col("end_date")).alias("end_date"))
 
 
 @query(
@@ -193,11 +206,18 @@ def year_month_key(spark, d):
       ELSE 'other' END AS linkedin FROM (SELECT row_id, linkedin, trim(linkedin) AS u FROM recruiter_sample)"""
 )
 def norm_url_linkedin(spark, d):
-    u = N.url(F.col("linkedin"))
+    """``norm_url_tracking`` with ``other`` in the place of links that are no profile, as the SQL has it."""
     profile = F.trim("linkedin").rlike(N._LINKEDIN) | F.coalesce(F.trim("linkedin") == "", F.lit(True))
+    u = N.url(F.col("linkedin"))
     return table(spark, d, "recruiter_sample").select("row_id", F.when(profile, u).otherwise(F.lit("other")).alias("linkedin"))
 
 
+@query()
+def norm_url_tracking(spark, d):
+    """Canonical links of all rows: profiles in short form, others without tracking parameters."""
+    return table(spark, d, "recruiter_sample").select("row_id", N.url(F.col("linkedin")).alias("linkedin"))
+
+
 @query(
     r"""SELECT row_id, CASE WHEN regexp_matches(github, '(?i)github\.(?:com|example)') THEN 'github' WHEN regexp_matches(github, '(?i)linkedin\.(?:com|example)') THEN 'linkedin'
       WHEN nullif(regexp_replace(github, '^\s+|\s+$', '', 'g'), '') IS NOT NULL THEN 'website' END AS kind FROM recruiter_sample"""
