@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recfuse.session import durable
+
 #: Words that stand for "no value" or are left over from forms and tests. Fixed values.
 FILLERS = (
     "", "-", "--", "–", "—", ".", "?", "n/a", "na", "none", "null", "nil", "nan", "tbd", "tba", "unknown", "undefined", "anonymous",
@@ -27,7 +29,7 @@ FILLERS = (
     "title", "job title", "lorem ipsum", "no name", "not provided", "not available", "-none-", "default", "sample", "dummy",
 )
 
-#: Sources beyond this number share the quality of a hash bucket.
+#: The rates of more sources than this stay in a table and are joined.
 MAX_SOURCES = 4096
 
 LARGEST_YEARS = 60.0
@@ -97,10 +99,8 @@ def judge(claims: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
     source = F.concat_ws(":", "field", "source")
     named = claims.where(F.col("value").isNotNull()).withColumn("src", source)
     few = named.select("src").distinct().limit(MAX_SOURCES + 1).count() <= MAX_SOURCES
-    if not few:
-        named = named.withColumn("src", F.concat_ws(":", "field", F.pmod(F.xxhash64("src"), F.lit(MAX_SOURCES)).cast("string")))
     asserted = named.groupBy("group_id", "field", "value", "kind").agg(F.collect_set("src").alias("by"))
-    # The sources of a group are few (at most MAX_SOURCES), however many rows it has.
+    # The sources of a group are few, however many rows it has.
     present = named.groupBy("group_id", "field").agg(F.collect_set("src").alias("all_src"))
     seen = asserted.join(present, ["group_id", "field"]).withColumn(
         "pattern",
@@ -108,7 +108,11 @@ def judge(claims: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
             F.transform("all_src", lambda s: F.struct(s.alias("src"), F.array_contains("by", s).cast("int").alias("said")))
         ),
     )
-    patterns = seen.groupBy("field", "kind", "pattern").agg(F.count(F.lit(1)).alias("n")).persist()
+    counted = seen.groupBy("field", "kind", "pattern").agg(F.count(F.lit(1)).alias("n"))
+    if not few:
+        truth = _fit_joined(counted, cfg)
+        return seen.join(truth, ["field", "kind", "pattern"]).select("group_id", "field", "value", "kind", "truth")
+    patterns = counted.persist()
     try:
         quality, share = _fit(patterns, cfg)
     finally:
@@ -173,6 +177,45 @@ def _fit(patterns: DataFrame, cfg: QualityConfig) -> tuple[dict[str, tuple[float
     return quality, share
 
 
+def _fit_joined(counted: DataFrame, cfg: QualityConfig) -> DataFrame:
+    """``(field, kind, pattern, truth)``: what ``_fit`` and ``_truth`` give, with the sources' rates in a table."""
+    patterns = durable(counted.withColumn("pid", F.monotonically_increasing_id()))
+    votes = durable(patterns.select("pid", "n", F.explode("pattern").alias("x")).select("pid", "n", "x.src", "x.said"))
+    keys = patterns.select("field", "kind").distinct().collect()  # fields times three kinds
+    share = {f"{r['field']}:{r['kind']}": _START.get(r["kind"], 0.5) for r in keys}
+    anchor = dict(share)
+    w = cfg.prior_weight
+
+    def judged(rates: DataFrame | None) -> DataFrame:
+        if not share:
+            return patterns.withColumn("truth", F.lit(None).cast("double"))
+        if rates is None:
+            return patterns.withColumn("truth", _prior_only(share))
+        said, silent = F.log(F.col("a") / F.col("b")), F.log((1 - F.col("a")) / (1 - F.col("b")))
+        odds = votes.join(rates, "src").groupBy("pid").agg(F.sum(F.when(F.col("said") == 1, said).otherwise(silent)).alias("odds"))
+        prior = F.element_at(_literal_map({k: math.log(p / (1 - p)) for k, p in share.items()}), F.concat_ws(":", "field", "kind"))
+        return patterns.join(odds, "pid", "left").withColumn("truth", 1 / (1 + F.exp(-(prior + F.coalesce("odds", F.lit(0.0)))))).drop("odds")
+
+    rates = None
+    bounded = lambda c: F.least(F.greatest(c, F.lit(0.02)), F.lit(0.98))
+    for _ in range(cfg.iterations if share else 0):
+        p = durable(judged(rates).select("pid", "field", "kind", "n", "truth"))
+        true, false = F.col("n") * F.col("truth"), F.col("n") * (1 - F.col("truth"))
+        sums = votes.join(p.select("pid", "truth"), "pid").groupBy("src").agg(
+            F.sum(true).alias("true_all"), F.sum(true * F.col("said")).alias("true_said"), F.sum(false).alias("false_all"), F.sum(false * F.col("said")).alias("false_said")
+        )
+        rates = durable(
+            sums.select(
+                "src", bounded((F.col("true_said") + 0.6 * w) / (F.col("true_all") + w)).alias("a"),
+                bounded((F.col("false_said") + 0.3 * w) / (F.col("false_all") + w)).alias("b"),
+            )
+        )
+        for r in p.groupBy("field", "kind").agg(F.sum(true).alias("t"), F.sum(false).alias("f")).collect():
+            k = f"{r['field']}:{r['kind']}"
+            share[k] = min(max((r["t"] + w * anchor[k]) / (r["t"] + r["f"] + w), 1e-4), 1 - 1e-4)
+    return judged(rates).select("field", "kind", "pattern", "truth")
+
+
 def _prior_only(share: dict[str, float]) -> Column:
     return F.element_at(_literal_map(share), F.concat_ws(":", "field", "kind"))
 
@@ -182,8 +225,12 @@ def _plain(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(value), r"[\s. …]+", " "))
 
 
+#: Names of at most so many words announce all their shortened forms; longer ones are compared word by word.
+FORM_WORDS = 6
+
+
 def _name_forms(plain: Column) -> Column:
-    """Every shortened form of a name of up to six words: words whole, as initials or left out."""
+    """Every shortened form of a name of up to ``FORM_WORDS`` words: words whole, as initials or left out."""
     words = F.split(plain, " ")
 
     def grow(acc: Column, w: Column) -> Column:
@@ -191,10 +238,29 @@ def _name_forms(plain: Column) -> Column:
         initial = F.transform(acc, lambda a: F.trim(F.concat_ws(" ", a, F.substring(w, 1, 1))))
         return F.array_distinct(F.concat(acc, whole, initial))
 
-    subsets = F.aggregate(F.slice(words, 1, 6), F.array(F.lit("")), grow)
+    subsets = F.aggregate(F.when(F.size(words) <= FORM_WORDS, words).otherwise(F.slice(words, 1, 0)), F.array(F.lit("")), grow)
     return F.filter(subsets, lambda f: f != "")
 
 
+def _contained(short: Column, fuller: Column) -> Column:
+    """Whether every word of ``short`` is, in order, a word of ``fuller`` or the initial of one (arrays of words)."""
+
+    def step(at: Column, w: Column) -> Column:
+        after = F.array_min(F.transform(fuller, lambda x, i: F.when((i >= at) & ((x == w) | (F.substring(x, 1, 1) == w)), i + 1)))
+        return F.when(at < 0, at).otherwise(F.coalesce(after, F.lit(-1)))
+
+    return F.aggregate(short, F.lit(0), step) >= 0
+
+
+def _shortened_long(text: DataFrame) -> DataFrame:
+    """``(group_id, field, value)`` of the names that a fuller name of more than ``FORM_WORDS`` words explains."""
+    names = text.where("field = 'full_name'").withColumn("words", F.split("plain", " "))
+    fuller = names.where(F.size("words") > FORM_WORDS).select("group_id", "field", F.col("plain").alias("fuller"), F.col("words").alias("all")).distinct()
+    starts = F.array_distinct(F.concat("all", F.transform("all", lambda w: F.substring(w, 1, 1))))
+    met = names.withColumn("start", F.col("words")[0]).join(fuller.withColumn("start", F.explode(starts)), ["group_id", "field", "start"])
+    return met.where(F.col("plain") != F.col("fuller")).where(_contained(F.col("words"), F.col("all"))).select("group_id", "field", "value").distinct()
+
+
 def _prefixes(plain: Column, least: int) -> Column:
     n = F.length(plain)
     return F.when(
@@ -218,7 +284,8 @@ def shortened(values: DataFrame) -> DataFrame:
     )
     announced = text.select("group_id", "field", F.col("plain").alias("fuller"), F.explode(forms).alias("form")).where("form <> fuller")
     keys = announced.select("group_id", "field", F.xxhash64("form").alias("h")).distinct()
-    return text.withColumn("h", F.xxhash64("plain")).join(keys, ["group_id", "field", "h"], "left_semi").select("group_id", "field", "value")
+    announced_forms = text.withColumn("h", F.xxhash64("plain")).join(keys, ["group_id", "field", "h"], "left_semi").select("group_id", "field", "value")
+    return announced_forms.unionByName(_shortened_long(text))
 
 
 def survivors(claims: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
