@@ -169,3 +169,46 @@ def test_match_people(spark):
     assert set(got) == {(1, 101), (2, 101), (3, 101), (5, 102)} and all(0.5 <= c <= 1 for c in got.values())
     for make in (lambda t: build(spark, t, []), lambda t: null_rows(spark, t)):
         assert matching.match_people(make("recruiter_sample"), make("ats_sample")).count() == 0
+
+
+def test_messages_decide_between_rivals(spark):
+    # On evidence alone both entities 1 and 2 have 11; the messages give 2 its own partner.
+    pairs = spark.createDataFrame([(1, 11, 5.0), (2, 11, 3.5), (2, 12, 1.0)], "i long, j long, theta double")
+    got = {(x.i, x.j): x.marginal for x in matching.one_to_one_marginals(pairs).collect()}
+    assert {k for k, m in got.items() if m >= 0.5} == {(1, 11), (2, 12)}
+    with pytest.warns(RuntimeWarning, match="after 1 rounds"):
+        matching.one_to_one_marginals(pairs, matching.MatchConfig(iterations=1))
+
+
+def test_one_partner_on_either_side(spark):
+    pos = lambda c: (c, None, None, None, None, None)
+    r = [
+        {"row_id": 1, "first_name": "Ada", "last_name": "Byron", "email": "ada-byron@x.example", "current_company": "Zeta Media Ltd", "phone": "+11112223334"},
+        {"row_id": 2, "first_name": "Ada", "last_name": "Byron", "current_company": "Acme Foods AG", "phone": "+19998887776"},
+        # Two rows of one person that share nothing but the partner.
+        {"row_id": 3, "first_name": "Eve", "last_name": "Stone", "email": "eve.stone@x.example"}, {"row_id": 4, "first_name": "Eve", "last_name": "Stone", "phone": "+442346332989"},
+    ]
+    a = [
+        {"row_id": 101, "candidate_id": "c1", "first_name": "Ada", "last_name": "Byron", "email": "ada-byron@x.example", "current_position": pos("Acme Foods AG")},
+        {"row_id": 102, "candidate_id": "c2", "first_name": "Eve", "last_name": "Stone", "email": "eve.stone@x.example", "phone": "0044 234 6332989"},
+    ]
+    got = {(x.recruiter_row_id, x.ats_row_id): x.confidence for x in matching.match_people(build(spark, "recruiter_sample", r), build(spark, "ats_sample", a)).collect()}
+    assert set(got) == {(1, 101), (3, 102), (4, 102)} and all(c >= 0.5 for c in got.values())
+
+
+def test_name_of_a_third_of_the_rows(spark):
+    people = [("Ada", "Byron")] * 40 + [(f"Given{chr(97 + k)}", f"Family{chr(97 + k)}{chr(98 + k)}") for k in range(20)]
+    r = [{"row_id": k, "first_name": g, "last_name": f, "phone": f"+44 20 7{k:06d}", "github": f"github.example/coder{k:03d}abc"} for k, (g, f) in enumerate(people)]
+    a = [{"row_id": 1000 + k, "candidate_id": f"c{k}", "first_name": g, "last_name": f, "github_url": f"github.example/coder{k:03d}abd"} for k, (g, f) in enumerate(people)]
+    tables = build(spark, "recruiter_sample", r), build(spark, "ats_sample", a)
+    # The name is shared by more entities than a key may join; handles one letter apart still bring its pairs together.
+    cfg = matching.MatchConfig(crowd=4, name_full=2.0, company=4.0, handle_slip=9.0, handle_other=-9.0)
+    assert cfg.most_in_key < 40
+    got = {(x.recruiter_row_id, x.ats_row_id) for x in matching.match_people(*tables, cfg).collect()}
+    assert got == {(k, 1000 + k) for k in range(60)}
+
+
+def test_shared_address_says_less(spark):
+    cfg = matching.MatchConfig()
+    weights = [matching.email_weight(n, cfg) for n in (1, 2, 3, 10, 10**6)]
+    assert weights == sorted(weights, reverse=True) and weights[0] == cfg.email and weights[-1] == 0.0
