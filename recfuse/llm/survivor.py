@@ -1,15 +1,16 @@
 """Best representative of each duplicate group, field by field, with a latent two-sided quality model.
 
 Every different value of a field in a group is a claim that is true or false. Each source that has a
-row in the group either asserts the claim or leaves it out; expectation-maximisation infers from this
-the sensitivity and the specificity of every source, the share of true claims of every kind of value,
-and the probability of each claim. Several values of a field may be true. Claims are compressed to
-their patterns of assertions before the iterations, whose only result for the driver is one pair of
-numbers per source.
-
-An exact check follows: a value must be of the field's kind and no shortened form of a fuller value of
-the group. Fuller values announce their shortened forms as hash keys, so no values are compared pair
-by pair and a group of any size is spread over the cluster.
+row in the group either asserts the claim or leaves it out, and the value looks like its field, like
+another kind of data or like filler; expectation-maximisation infers from this the sensitivity and the
+specificity of every source, how often true and false claims look like what, the share of true claims of
+every field, and the probability of each claim, which alone decides whether it is usable. Several values
+of a field may be true. Claims are compressed to their patterns of assertions before the iterations,
+whose only result for the driver is one pair of numbers per source and per look.
+
+An exact check follows: a value must be no shortened form of a fuller usable value of the group. Fuller
+values announce their shortened forms as hash keys, so no values are compared pair by pair and a group of
+any size is spread over the cluster.
 """
 
 from __future__ import annotations
@@ -37,17 +38,16 @@ LARGEST_YEARS = 60.0
 
 @dataclass(frozen=True)
 class QualityConfig:
-    """Iterations of the model, pseudo-counts of its priors, and the probability from which a value survives.
-
-    A low ``min_truth`` keeps every value that is not clearly false, as several may be true at once.
-    """
+    """Iterations of the model, pseudo-counts of its priors, and the probability from which a value is usable."""
 
     iterations: int = 8
     prior_weight: float = 20.0
-    min_truth: float = 0.05
+    min_truth: float = 0.5
+    share: float = 0.75  # of true claims, before any is seen
 
 
-_START = {"good": 0.9, "other": 0.02, "empty": 0.001}
+#: ``P(look | true)`` and ``P(look | false)`` before any claim is seen.
+_LOOKS = {"good": (0.985, 0.30), "other": (0.01, 0.35), "empty": (0.005, 0.35)}
 
 
 def row_source(skills: Column) -> Column:
@@ -96,130 +96,133 @@ def judge(claims: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
 
     An empty table gives no row; repeated rows count once per source; ties need no rule here.
     """
-    source = F.concat_ws(":", "field", "source")
-    named = claims.where(F.col("value").isNotNull()).withColumn("src", source)
-    few = named.select("src").distinct().limit(MAX_SOURCES + 1).count() <= MAX_SOURCES
+    named = claims.where(F.col("value").isNotNull()).withColumn("src", F.concat_ws(":", "field", "source"))
     asserted = named.groupBy("group_id", "field", "value", "kind").agg(F.collect_set("src").alias("by"))
     # The sources of a group are few, however many rows it has.
     present = named.groupBy("group_id", "field").agg(F.collect_set("src").alias("all_src"))
-    seen = asserted.join(present, ["group_id", "field"]).withColumn(
-        "pattern",
-        F.array_sort(
-            F.transform("all_src", lambda s: F.struct(s.alias("src"), F.array_contains("by", s).cast("int").alias("said")))
-        ),
-    )
-    counted = seen.groupBy("field", "kind", "pattern").agg(F.count(F.lit(1)).alias("n"))
-    if not few:
-        truth = _fit_joined(counted, cfg)
-        return seen.join(truth, ["field", "kind", "pattern"]).select("group_id", "field", "value", "kind", "truth")
-    patterns = counted.persist()
-    try:
-        quality, share = _fit(patterns, cfg)
-    finally:
-        patterns.unpersist()
-    if not share:
-        return asserted.select("group_id", "field", "value", "kind", F.lit(None).cast("double").alias("truth"))
-    return seen.select("group_id", "field", "value", "kind", _truth(quality, share).alias("truth"))
+    seen = durable(
+        asserted.join(present, ["group_id", "field"]).select(
+            "group_id", "field", "value", "kind",
+            F.array_sort(F.transform("all_src", lambda s: F.struct(s.alias("src"), F.array_contains("by", s).cast("int").alias("said")))).alias("pattern"),
+        )
+    )
+    counted = durable(seen.groupBy("field", "kind", "pattern").agg(F.count(F.lit(1)).alias("n")))
+    few = counted.select(F.explode("pattern.src").alias("src")).distinct().limit(MAX_SOURCES + 1).count() <= MAX_SOURCES
+    if not few:  # the same numbers, with the rates in a table
+        return seen.join(_fit_joined(counted, cfg), ["field", "kind", "pattern"]).select("group_id", "field", "value", "kind", "truth")
+    quality, looks, share = _fit(counted, cfg)
+    return seen.select("group_id", "field", "value", "kind", _truth(quality, looks, share).alias("truth"))
 
 
 def _literal_map(values: dict[str, float]) -> Column:
+    if not values:
+        return F.create_map().cast("map<string,double>")
     return F.create_map(*[F.lit(x) for k, v in sorted(values.items()) for x in (k, float(v))])
 
 
-def _truth(quality: dict[str, tuple[float, float]], share: dict[str, float]) -> Column:
-    """Probability of a claim from its pattern, under the sources' rates and the share of its kind."""
+def _logit(p: float) -> float:
+    return math.log(p / (1 - p))
+
+
+def _own_odds(looks: dict[str, tuple[float, float]], share: dict[str, float]) -> Column:
+    """Log-odds of a claim from its field and its look, before the sources are heard."""
+    seen = _literal_map({k: math.log(a / b) for k, (a, b) in looks.items()})
+    prior = _literal_map({k: _logit(p) for k, p in share.items()})
+    zero = F.lit(0.0)
+    return F.coalesce(F.element_at(prior, F.col("field")), zero) + F.coalesce(F.element_at(seen, F.concat_ws(":", "field", "kind")), zero)
+
+
+def _truth(quality: dict[str, tuple[float, float]], looks: dict[str, tuple[float, float]], share: dict[str, float]) -> Column:
+    """Probability of a claim from its pattern and look, under the rates of sources and looks and the share of its field."""
     said = _literal_map({s: math.log(a / b) for s, (a, b) in quality.items()})
     silent = _literal_map({s: math.log((1 - a) / (1 - b)) for s, (a, b) in quality.items()})
-    prior = _literal_map({k: math.log(p / (1 - p)) for k, p in share.items()})
     odds = F.aggregate(
-        "pattern",
-        F.coalesce(F.element_at(prior, F.concat_ws(":", "field", "kind")), F.lit(0.0)),
+        "pattern", _own_odds(looks, share),
         lambda acc, x: acc + F.when(x["said"] == 1, F.coalesce(F.element_at(said, x["src"]), F.lit(0.0))).otherwise(
             F.coalesce(F.element_at(silent, x["src"]), F.lit(0.0))
         ),
-    )
+    )
     return 1 / (1 + F.exp(-odds))
 
 
-def _fit(patterns: DataFrame, cfg: QualityConfig) -> tuple[dict[str, tuple[float, float]], dict[str, float]]:
-    """Rates ``(P(asserts | true), P(asserts | false))`` by source, and the share of true claims by kind."""
-    keys = patterns.select("field", "kind").distinct().collect()  # fields times three kinds
-    share = {f"{r['field']}:{r['kind']}": _START.get(r["kind"], 0.5) for r in keys}
-    anchor = dict(share)
+def _bounded(x: float) -> float:
+    return min(max(x, 0.02), 0.98)
+
+
+def _start(counted: DataFrame, cfg: QualityConfig) -> tuple[dict[str, tuple[float, float]], dict[str, float]]:
+    keys = counted.select("field", "kind").distinct().collect()  # fields times three looks
+    return {f"{r['field']}:{r['kind']}": _LOOKS.get(r["kind"], (0.5, 0.5)) for r in keys}, {r["field"]: cfg.share for r in keys}
+
+
+def _own_rates(sums: list, anchor: dict[str, tuple[float, float]], cfg: QualityConfig) -> tuple[dict[str, tuple[float, float]], dict[str, float]]:
+    """Rates of the looks and shares of the fields from ``(field, kind, t, f)``, the true and false mass of each."""
+    w = cfg.prior_weight
+    true, false = {}, {}
+    for r in sums:
+        true[r["field"]] = true.get(r["field"], 0.0) + r["t"]
+        false[r["field"]] = false.get(r["field"], 0.0) + r["f"]
+    looks = {}
+    for r in sums:
+        a, b = anchor[f"{r['field']}:{r['kind']}"]
+        looks[f"{r['field']}:{r['kind']}"] = ((r["t"] + w * a) / (true[r["field"]] + w), (r["f"] + w * b) / (false[r["field"]] + w))
+    share = {k: _bounded((true[k] + w * cfg.share) / (true[k] + false[k] + w)) for k in true}
+    return looks, share
+
+
+def _fit(counted: DataFrame, cfg: QualityConfig) -> tuple[dict[str, tuple[float, float]], dict[str, tuple[float, float]], dict[str, float]]:
+    """Rates ``(P(asserts | true), P(asserts | false))`` by source, of the looks by field, and the share of true claims."""
+    looks, share = _start(counted, cfg)
+    anchor = dict(looks)
     quality: dict[str, tuple[float, float]] = {}
     w = cfg.prior_weight
     for _ in range(cfg.iterations if share else 0):
-        p = patterns.withColumn("truth", _truth(quality, share) if quality else _prior_only(share))
-        about = F.concat(
-            F.array(F.struct(F.concat(F.lit("kind:"), F.concat_ws(":", "field", "kind")).alias("src"), F.lit(1).alias("said"))),
-            F.col("pattern"),
-        )
-        sums = (
-            p.select("truth", "n", F.explode(about).alias("x"))
-            .groupBy("x.src")
-            .agg(
-                F.sum(F.col("n") * F.col("truth")).alias("true_all"),
-                F.sum(F.col("n") * F.col("truth") * F.col("x.said")).alias("true_said"),
-                F.sum(F.col("n") * (1 - F.col("truth"))).alias("false_all"),
-                F.sum(F.col("n") * (1 - F.col("truth")) * F.col("x.said")).alias("false_said"),
-            )
-            .collect()
-        )  # one row per source and kind
+        p = counted.withColumn("truth", _truth(quality, looks, share))
+        # One pass: a claim counts once for its look and once for every source of its group.
+        own = F.array(F.struct(F.lit(None).cast("string").alias("src"), F.lit(1).alias("said")))
+        true, false = F.col("n") * F.col("truth"), F.col("n") * (1 - F.col("truth"))
+        x = p.select("field", "kind", "truth", "n", F.explode(F.concat(own, "pattern")).alias("x"))
+        kind = F.when(F.col("x.src").isNull(), F.col("kind"))
+        sums = x.groupBy("x.src", "field", kind.alias("kind")).agg(
+            F.sum(true).alias("t"), F.sum(true * F.col("x.said")).alias("t_said"), F.sum(false).alias("f"), F.sum(false * F.col("x.said")).alias("f_said")
+        ).collect()  # one row per source, field and look
         for r in sums:
-            if r["src"].startswith("kind:"):
-                k = r["src"][5:]
-                share[k] = (r["true_all"] + w * anchor[k]) / (r["true_all"] + r["false_all"] + w)
-            else:
-                a = (r["true_said"] + 0.6 * w) / (r["true_all"] + w)
-                b = (r["false_said"] + 0.3 * w) / (r["false_all"] + w)
-                quality[r["src"]] = (min(max(a, 0.02), 0.98), min(max(b, 0.02), 0.98))
-        share = {k: min(max(v, 1e-4), 1 - 1e-4) for k, v in share.items()}
-    return quality, share
+            if r["src"] is not None:
+                quality[r["src"]] = (_bounded((r["t_said"] + 0.6 * w) / (r["t"] + w)), _bounded((r["f_said"] + 0.3 * w) / (r["f"] + w)))
+        looks, share = _own_rates([r for r in sums if r["src"] is None], anchor, cfg)
+    return quality, looks, share
 
 
 def _fit_joined(counted: DataFrame, cfg: QualityConfig) -> DataFrame:
     """``(field, kind, pattern, truth)``: what ``_fit`` and ``_truth`` give, with the sources' rates in a table."""
     patterns = durable(counted.withColumn("pid", F.monotonically_increasing_id()))
-    votes = durable(patterns.select("pid", "n", F.explode("pattern").alias("x")).select("pid", "n", "x.src", "x.said"))
-    keys = patterns.select("field", "kind").distinct().collect()  # fields times three kinds
-    share = {f"{r['field']}:{r['kind']}": _START.get(r["kind"], 0.5) for r in keys}
-    anchor = dict(share)
+    votes = durable(patterns.select("pid", F.explode("pattern").alias("x")).select("pid", "x.src", "x.said"))
+    looks, share = _start(counted, cfg)
+    anchor = dict(looks)
     w = cfg.prior_weight
 
     def judged(rates: DataFrame | None) -> DataFrame:
-        if not share:
-            return patterns.withColumn("truth", F.lit(None).cast("double"))
+        own = _own_odds(looks, share)
         if rates is None:
-            return patterns.withColumn("truth", _prior_only(share))
+            return patterns.withColumn("truth", 1 / (1 + F.exp(-own)))
         said, silent = F.log(F.col("a") / F.col("b")), F.log((1 - F.col("a")) / (1 - F.col("b")))
         odds = votes.join(rates, "src").groupBy("pid").agg(F.sum(F.when(F.col("said") == 1, said).otherwise(silent)).alias("odds"))
-        prior = F.element_at(_literal_map({k: math.log(p / (1 - p)) for k, p in share.items()}), F.concat_ws(":", "field", "kind"))
-        return patterns.join(odds, "pid", "left").withColumn("truth", 1 / (1 + F.exp(-(prior + F.coalesce("odds", F.lit(0.0)))))).drop("odds")
+        return patterns.join(odds, "pid", "left").withColumn("truth", 1 / (1 + F.exp(-(own + F.coalesce("odds", F.lit(0.0)))))).drop("odds")
 
     rates = None
     bounded = lambda c: F.least(F.greatest(c, F.lit(0.02)), F.lit(0.98))
     for _ in range(cfg.iterations if share else 0):
         p = durable(judged(rates).select("pid", "field", "kind", "n", "truth"))
         true, false = F.col("n") * F.col("truth"), F.col("n") * (1 - F.col("truth"))
-        sums = votes.join(p.select("pid", "truth"), "pid").groupBy("src").agg(
-            F.sum(true).alias("true_all"), F.sum(true * F.col("said")).alias("true_said"), F.sum(false).alias("false_all"), F.sum(false * F.col("said")).alias("false_said")
+        sums = votes.join(p.select("pid", "n", "truth"), "pid").groupBy("src").agg(
+            F.sum(true).alias("t"), F.sum(true * F.col("said")).alias("t_said"), F.sum(false).alias("f"), F.sum(false * F.col("said")).alias("f_said")
         )
-        rates = durable(
-            sums.select(
-                "src", bounded((F.col("true_said") + 0.6 * w) / (F.col("true_all") + w)).alias("a"),
-                bounded((F.col("false_said") + 0.3 * w) / (F.col("false_all") + w)).alias("b"),
-            )
-        )
-        for r in p.groupBy("field", "kind").agg(F.sum(true).alias("t"), F.sum(false).alias("f")).collect():
-            k = f"{r['field']}:{r['kind']}"
-            share[k] = min(max((r["t"] + w * anchor[k]) / (r["t"] + r["f"] + w), 1e-4), 1 - 1e-4)
+        rates = durable(sums.select(
+            "src", bounded((F.col("t_said") + 0.6 * w) / (F.col("t") + w)).alias("a"), bounded((F.col("f_said") + 0.3 * w) / (F.col("f") + w)).alias("b")
+        ))
+        looks, share = _own_rates(p.groupBy("field", "kind").agg(F.sum(true).alias("t"), F.sum(false).alias("f")).collect(), anchor, cfg)
     return judged(rates).select("field", "kind", "pattern", "truth")
 
 
-def _prior_only(share: dict[str, float]) -> Column:
-    return F.element_at(_literal_map(share), F.concat_ws(":", "field", "kind"))
-
-
 def _plain(value: Column) -> Column:
     """Lower-case words with single blanks; full stops and ellipses become blanks."""
     return F.trim(F.regexp_replace(F.lower(value), r"[\s. …]+", " "))
@@ -261,26 +264,25 @@ def _shortened_long(text: DataFrame) -> DataFrame:
     return met.where(F.col("plain") != F.col("fuller")).where(_contained(F.col("words"), F.col("all"))).select("group_id", "field", "value").distinct()
 
 
-def _prefixes(plain: Column, least: int) -> Column:
+def _prefixes(plain: Column, lengths: Column, least: int) -> Column:
+    """The prefixes of a text whose lengths other values of the group have (a prefix may end before a blank)."""
     n = F.length(plain)
-    return F.when(
-        n > least, F.transform(F.sequence(F.lit(least), n - 1), lambda i: F.trim(F.substring(plain, F.lit(1), i)))
-    ).otherwise(F.array().cast("array<string>"))
+    asked = F.filter(lengths, lambda k: (k >= least) & (k < n))
+    return F.transform(asked, lambda k: F.substring(plain, F.lit(1), k))
 
 
 def shortened(values: DataFrame) -> DataFrame:
-    """``(group_id, field, value)`` of the good values that a fuller good value of the group explains.
+    """``(group_id, field, value)`` of the values that a fuller value of the group explains.
 
     Names: a prefix, or words left out or cut to initials. Other text: a prefix, with or without an
     ellipsis. Numbers are never shortened.
     """
-    text = values.where((F.col("kind") == "good") & (F.col("field") != "years_experience")).select(
-        "group_id", "field", "value", _plain(F.col("value")).alias("plain")
-    )
-    several = text.groupBy("group_id", "field").agg(F.min("plain").alias("a"), F.max("plain").alias("b")).where("a <> b")
-    text = text.join(several.select("group_id", "field"), ["group_id", "field"])
-    forms = F.when(F.col("field") == "full_name", F.array_union(_name_forms(F.col("plain")), _prefixes(F.col("plain"), 2))).otherwise(
-        _prefixes(F.col("plain"), 3)
+    text = values.where(F.col("field") != "years_experience").select("group_id", "field", "value", _plain(F.col("value")).alias("plain"))
+    # Of a group only the lengths that occur are kept, not the values.
+    several = text.groupBy("group_id", "field").agg(F.min("plain").alias("a"), F.max("plain").alias("b"), F.collect_set(F.length("plain")).alias("lengths"))
+    text = text.join(several.where("a <> b").select("group_id", "field", "lengths"), ["group_id", "field"])
+    forms = F.when(F.col("field") == "full_name", F.array_union(_name_forms(F.col("plain")), _prefixes(F.col("plain"), F.col("lengths"), 2))).otherwise(
+        _prefixes(F.col("plain"), F.col("lengths"), 3)
     )
     announced = text.select("group_id", "field", F.col("plain").alias("fuller"), F.explode(forms).alias("form")).where("form <> fuller")
     keys = announced.select("group_id", "field", F.xxhash64("form").alias("h")).distinct()
@@ -294,11 +296,11 @@ def survivors(claims: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFr
     Among the usable values the latest ``updated_at`` wins (null is earliest), then the smallest
     ``row_id``. A group without a usable value gives no row; null groups are no group.
     """
-    rows = claims.where(F.col("group_id").isNotNull())
-    judged = judge(rows, cfg).where((F.col("kind") == "good") & (F.coalesce("truth", F.lit(1.0)) >= cfg.min_truth))
-    usable = judged.join(shortened(judged), ["group_id", "field", "value"], "left_anti").drop("kind")
+    rows = durable(claims.where(F.col("group_id").isNotNull()))
+    usable = durable(judge(rows, cfg).where(F.col("truth") >= cfg.min_truth).drop("kind"))
+    fullest = usable.join(shortened(usable), ["group_id", "field", "value"], "left_anti")
     order = F.struct(F.col("updated_at"), (-F.col("row_id")).alias("first"))
-    best = rows.join(usable, ["group_id", "field", "value"]).groupBy("group_id", "field").agg(
+    best = rows.join(fullest, ["group_id", "field", "value"]).groupBy("group_id", "field").agg(
         F.max_by(F.struct("row_id", "value", "truth"), order).alias("best")
     )
     many = rows.groupBy("group_id", "field").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("group_id", "field")
@@ -328,6 +330,6 @@ def surviving_profiles(profiles: DataFrame, export: DataFrame, cfg: QualityConfi
     mail = F.lower(F.trim(F.col("mail")))
     kind = F.when(mail.rlike(r"^[^@\s]+@[^@\s]+\.[^@\s]+$"), "good").otherwise("other")
     claims = claims_of(mails, "emails", kind, mail).where(F.col("group_id").isNotNull())
-    true = judge(claims, cfg).where((F.col("kind") == "good") & (F.col("truth") >= 0.5))
+    true = judge(claims, cfg).where(F.col("truth") >= cfg.min_truth)
     lists = true.groupBy("group_id").agg(F.array_sort(F.collect_set("value")).alias("emails"))
     return wide.join(lists, "group_id", "left")

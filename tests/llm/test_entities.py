@@ -212,3 +212,36 @@ def test_shared_address_says_less(spark):
     cfg = matching.MatchConfig()
     weights = [matching.email_weight(n, cfg) for n in (1, 2, 3, 10, 10**6)]
     assert weights == sorted(weights, reverse=True) and weights[0] == cfg.email and weights[-1] == 0.0
+
+
+def _bad_source(spark):
+    """Groups in which a third source is mostly alone with its value, which looks as good as the others' and is the latest."""
+    rng = random.Random(4)
+    rows = []
+    for g in range(200):
+        for s, right, day in (("good", 0.97, 1), ("fair", 0.9, 2), ("poor", 0.1, 3)):
+            rows.append((g, len(rows), at(day), s, "f", f"v{g}" if rng.random() < right else f"w{g}{s}", "good"))
+    return spark.createDataFrame(rows, "group_id long, row_id long, updated_at timestamp, source string, field string, value string, kind string")
+
+
+def test_plausible_value_of_a_bad_source_loses(spark):
+    claims = _bad_source(spark)
+    share = lambda cfg: claims.join(survivor.survivors(claims, cfg).select("row_id"), "row_id").where(F.col("value").startswith("v")).count() / 200
+    assert share(survivor.QualityConfig(iterations=15)) > 0.8
+    assert share(survivor.QualityConfig(iterations=0)) < 0.2  # without the model the latest value wins
+
+
+def test_rates_in_a_table_are_the_same(spark, monkeypatch):
+    claims = _bad_source(spark)
+    here = {(r.group_id, r.value): r.truth for r in survivor.judge(claims).collect()}
+    monkeypatch.setattr(survivor, "MAX_SOURCES", 1)
+    there = {(r.group_id, r.value): r.truth for r in survivor.judge(claims).collect()}
+    assert here.keys() == there.keys() and all(abs(here[k] - there[k]) < 1e-9 for k in here)
+
+
+def test_fillers_and_other_kinds_are_claims(spark):
+    rows = [{"row_id": 3 * g + k, "group_id": g, "full_name": n, "updated_at": at(k + 1)} for g in range(8) for k, n in enumerate((f"Ada Byron{'xyzuvwab'[g]}", "TBD", "a@b.example"))]
+    claims = survivor.profile_claims(build(spark, "output_default", rows), build(spark, "output_ats_export", []))
+    judged = survivor.judge(claims.where("group_id is not null")).where("field = 'full_name'").collect()
+    assert {(r.kind, r.truth >= 0.5) for r in judged} == {("good", True), ("empty", False), ("other", False)}
+    assert {r.row_id % 3 for r in survivor.survivors(claims).collect()} == {0}
