@@ -3,8 +3,8 @@
 Values are deduplicated and normalised first, so the work follows the number of different spellings
 and not of rows. Candidates come from an inverted index of character n-grams over the list's names and
 aliases; they are scored by the cosine of idf-weighted n-gram vectors and accepted above a threshold
-and a margin to the second entry, after an exact check of the spelling. Names that rows already carry
-with a canonical value serve as further aliases.
+and a margin to the second entry. Of the accepted ones an exact check drops those whose spelling is
+another word. Names that several rows already carry with one canonical value serve as further aliases.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +26,10 @@ _BEFORE = (
 )
 _AFTER = r"\s+(?:experts?|skills?|experience|knowledge|[ivx]{2,4}|v?\d+(?:\.[\dx]+)*|[-–—]\s*\d+\+?\s*(?:years?|yrs?))$"
 
-GRAM = 2
-MIN_COSINE = 0.25
-MIN_MARGIN = 0.02
+MIN_COSINE = 0.45
+MIN_MARGIN = 0.05
+#: Rows that must carry a name with one canonical value, and their share, before the name is an alias.
+MIN_SUPPORT, MIN_AGREEMENT = 2, 0.9
 
 
 def normal_tokens(value: Column) -> Column:
@@ -51,8 +51,16 @@ def flat(tokens: Column) -> Column:
 
 
 def _grams(c: Column) -> Column:
+    """Hashes of the letter pairs of a padded word: neighbours as typed, and pairs up to two apart in either order.
+
+    Pairs without an order keep a swap of letters from changing more grams than another slip.
+    """
     padded = F.concat(F.lit("^"), c, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (GRAM - 1), F.lit(1))), lambda i: F.substring(padded, i, F.lit(GRAM))))
+    at = F.sequence(F.lit(1), F.length(padded) - 1)
+    letter = lambda i: F.substring(padded, i, F.lit(1))
+    pair = lambda d: F.transform(at, lambda i: F.xxhash64(F.least(letter(i), letter(i + d)), F.greatest(letter(i), letter(i + d))))
+    typed = F.transform(at, lambda i: F.xxhash64(F.substring(padded, i, F.lit(2))))
+    return F.array_distinct(F.concat(pair(1), F.slice(pair(2), F.lit(1), F.length(padded) - 2), typed))
 
 
 def same_spelling(value_tokens: str, value_flat: str, form_tokens: str, form_flat: str) -> bool:
@@ -86,42 +94,50 @@ def match_forms(values: DataFrame, forms: DataFrame) -> DataFrame:
     """``(v_flat, entry_id, cosine)`` of the values that name an entry.
 
     ``values(v_tokens, v_flat)`` are distinct, ``forms(f_tokens, f_flat, entry_id)`` the spellings of the
-    entries. Only values and forms that share an n-gram meet; a value goes to its best entry if the
-    spelling holds and the second entry is ``MIN_MARGIN`` away (an exact form needs no margin).
+    entries. A value goes to its best entry if their cosine is ``MIN_COSINE``, the second entry is
+    ``MIN_MARGIN`` away, and the spelling holds; a form of two entries is therefore no match for either.
+    Values and forms meet by the heaviest n-grams of a value only, so many that what the others can add
+    stays below ``MIN_COSINE - MIN_MARGIN``: no candidate that matters is lost, and common n-grams join nothing.
     """
-    form_grams = forms.select("entry_id", "f_tokens", "f_flat", F.explode(_grams(F.col("f_flat"))).alias("gram"))
-    n_forms = forms.select(F.count(F.lit(1)).alias("n_forms"))
+    spelled = forms.groupBy("f_flat").agg(F.min("f_tokens").alias("f_tokens"), F.array_sort(F.collect_set("entry_id")).alias("entries"))
+    spelled = spelled.select("f_flat", "f_tokens", "entries", _grams(F.col("f_flat")).alias("f_grams"))
+    form_grams = spelled.select("f_flat", F.explode("f_grams").alias("gram"))
+    n_forms = spelled.select(F.log1p(F.count(F.lit(1))).alias("most"), F.count(F.lit(1)).alias("n_forms"))
     idf = form_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n_forms))  # one row
-    idf = idf.select("gram", F.log1p(F.col("n_forms") / F.col("df")).alias("weight"), F.log1p(F.col("n_forms")).alias("most"))
-    weighted = form_grams.join(idf.drop("most"), "gram")
-    norms = weighted.groupBy("f_flat").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("f_norm"))
-    # A form may stand for two entries; its norm then counts each n-gram once for either.
-    counts = forms.groupBy("f_flat").agg(F.count(F.lit(1)).alias("n_same"))
-    norms = norms.join(counts, "f_flat").select("f_flat", (F.col("f_norm") / F.sqrt("n_same")).alias("f_norm"))
-    index = weighted.join(norms, "f_flat").select("gram", "entry_id", "f_tokens", "f_flat", "f_norm", "weight")
-
-    value_grams = values.select("v_tokens", "v_flat", F.explode(_grams(F.col("v_flat"))).alias("gram"))
-    default = forms.select(F.log1p(F.count(F.lit(1))).alias("most"))
-    rated = value_grams.join(idf.select("gram", "weight"), "gram", "left").crossJoin(F.broadcast(default))  # one row
-    rated = rated.withColumn("weight", F.coalesce("weight", "most"))
-    v_norms = rated.groupBy("v_flat").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("v_norm"))
-    pairs = (
-        value_grams.join(index, "gram")
-        .groupBy("v_flat", "v_tokens", "entry_id", "f_flat", "f_tokens", "f_norm")
-        .agg(F.sum(F.col("weight") ** 2).alias("dot"))
-        .join(v_norms, "v_flat")
-        .withColumn("cosine", F.col("dot") / (F.col("f_norm") * F.col("v_norm")))
-        .where(F.col("cosine") >= MIN_COSINE)
+    idf = idf.select("gram", F.log1p(F.col("n_forms") / F.col("df")).alias("weight"))
+    norms = form_grams.join(idf, "gram").groupBy("f_flat").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("f_norm"))
+    index = durable(spelled.join(norms, "f_flat"))
+
+    flats = values.select("v_flat").distinct()
+    rated = flats.select("v_flat", F.explode(_grams(F.col("v_flat"))).alias("gram")).join(idf, "gram", "left").crossJoin(F.broadcast(n_forms))  # one row
+    mass = F.coalesce("weight", "most") ** 2
+    vectors = rated.groupBy("v_flat").agg(F.sort_array(F.collect_list(F.struct(mass.alias("mass"), "gram")), asc=False).alias("v"), F.sum(mass).alias("v_mass"))
+    # Heaviest first: a gram is joined unless those from it on weigh too little to bring a candidate.
+    tail = (MIN_COSINE - MIN_MARGIN) ** 2
+    heavy = F.aggregate(
+        "v", F.struct(F.lit(0.0).alias("before"), F.array().cast("array<bigint>").alias("grams")),
+        lambda acc, x: F.struct(
+            (acc["before"] + x["mass"]).alias("before"),
+            F.when(F.col("v_mass") - acc["before"] >= tail * F.col("v_mass") * 0.999999, F.array_append(acc["grams"], x["gram"])).otherwise(acc["grams"]).alias("grams"),
+        ),
+    )["grams"]
+    vectors = durable(vectors.withColumn("heavy", heavy))
+    met = vectors.select("v_flat", F.explode("heavy").alias("gram")).join(index.select("f_flat", F.explode("f_grams").alias("gram")), "gram").select("v_flat", "f_flat").distinct()
+    dot = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + F.when(F.array_contains("f_grams", x["gram"]), x["mass"]).otherwise(0.0))
+    pairs = met.join(vectors, "v_flat").join(index, "f_flat").select(
+        "v_flat", "f_flat", "f_tokens", "entries", (dot / (F.col("f_norm") * F.sqrt("v_mass"))).alias("cosine")
+    ).where(F.col("cosine") >= MIN_COSINE - MIN_MARGIN)
+    each = pairs.select("v_flat", F.explode("entries").alias("entry_id"), "cosine", F.struct("cosine", "f_flat", "f_tokens").alias("form"))
+    # Entries by their best form; the two best of a value are enough for the margin.
+    best = each.groupBy("v_flat", "entry_id").agg(F.max("form").alias("form"))
+    first = best.groupBy("v_flat").agg(F.max(F.struct("form.cosine", (-F.col("entry_id")).alias("first"), "form.f_flat", "form.f_tokens")).alias("top"))
+    second = best.join(first.select("v_flat", (-F.col("top.first")).alias("won")), "v_flat").where("entry_id <> won").groupBy("v_flat").agg(F.max("form.cosine").alias("next"))
+    won = first.join(second, "v_flat", "left").where(
+        (F.col("top.cosine") >= MIN_COSINE) & (F.col("top.cosine") - F.coalesce("next", F.lit(0.0)) >= MIN_MARGIN)
     )
-    good = pairs.where(_same_spelling("v_tokens", "v_flat", "f_tokens", "f_flat"))
-    best = good.groupBy("v_flat", "entry_id").agg(
-        F.max("cosine").alias("cosine"), F.max((F.col("v_flat") == F.col("f_flat")).cast("int")).alias("exact")
-    )
-    order = W.partitionBy("v_flat").orderBy(F.desc("exact"), F.desc("cosine"), "entry_id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).withColumn("next", F.lead("cosine").over(order))
-    return ranked.where(
-        (F.col("rank") == 1) & ((F.col("exact") == 1) | F.col("next").isNull() | (F.col("cosine") - F.col("next") >= MIN_MARGIN))
-    ).select("v_flat", "entry_id", "cosine")
+    spelt = values.join(won, "v_flat").select("v_flat", "v_tokens", (-F.col("top.first")).alias("entry_id"), "top.cosine", "top.f_flat", "top.f_tokens")
+    good = spelt.where(_same_spelling("v_tokens", "v_flat", "f_tokens", "f_flat"))
+    return good.groupBy("v_flat").agg(F.first("entry_id").alias("entry_id"), F.max("cosine").alias("cosine"))
 
 
 def reference_forms(ref: DataFrame) -> DataFrame:
@@ -145,18 +161,17 @@ def map_skills(profiles: DataFrame, ref: DataFrame) -> DataFrame:
     )
     canonical = ref.select(F.col("canonical_name").alias("given"), F.col("skill_id").alias("given_id"))
     items = items.join(canonical, "given", "left")
-    values = items.where(F.col("v_flat") != "").groupBy("v_flat", "v_tokens").agg(
-        F.min("given_id").alias("low"), F.max("given_id").alias("high"), F.count("given_id").alias("support")
-    )
+    rows = items.where(F.col("v_flat") != "").groupBy("v_flat", "v_tokens", "given_id").agg(F.count(F.lit(1)).alias("n"))
     # The distinct spellings and their matches are written once; what follows reads small tables.
-    values = durable(values)
+    rows = durable(rows)
+    spelled = rows.select("v_flat", "v_tokens").distinct()
     forms = durable(reference_forms(ref))
-    spelled = values.select("v_flat", "v_tokens")
     direct = durable(match_forms(spelled, forms))
-    # Names that rows carry with one canonical value, and that no spelling explains, are further aliases.
-    learned = values.groupBy("v_flat").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("support").alias("support"), F.min("v_tokens").alias("v_tokens")
-    ).where((F.col("low") == F.col("high")) & (F.col("support") >= 1))
+    # Names that several rows carry with one canonical value, and that no spelling explains, are further aliases.
+    votes = rows.where(F.col("given_id").isNotNull()).groupBy("v_flat", "given_id").agg(F.sum("n").alias("n"), F.min("v_tokens").alias("v_tokens"))
+    learned = votes.groupBy("v_flat").agg(F.sum("n").alias("all"), F.max(F.struct("n", (-F.col("given_id")).alias("first"), "v_tokens")).alias("top")).where(
+        (F.col("top.n") >= MIN_SUPPORT) & (F.col("top.n") >= MIN_AGREEMENT * F.col("all"))
+    ).select("v_flat", (-F.col("top.first")).alias("low"), "top.v_tokens")
     novel = learned.join(direct.select("v_flat"), "v_flat", "left_anti").select(
         F.col("low").alias("entry_id"), F.col("v_tokens").alias("f_tokens"), F.col("v_flat").alias("f_flat")
     )

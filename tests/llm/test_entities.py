@@ -22,7 +22,7 @@ def test_map_skills(spark):
         "circuit layot": 1, "Circus Layout": -1, "pcb layout": 1, "ternixdb®": 3, "Ternix II": 2, "terinx": 2, "Reporting, Financial": 4, "financial_reporting": 4, "FinancialReporting": 4,
         "hands-on quarrel.js": 6, "Financial Rep.": 4, "juggling": -1, "data modeling (basic)": 7, "exp. in data modelling": 7, "dolmetschen": 5, "Dolmetschen  ": 5, "": -1, None: -1, "   ": -1, "x" * 5000: -1,
     }
-    rows = [{"row_id": 1, "skills": [skill(n, g) for n, g in zip(want, itertools.cycle([None, "unmapped", ""]))]}, {"row_id": 2, "skills": [skill("dolmetschen", "Simultaneous Interpreting")]},
+    rows = [{"row_id": 1, "skills": [skill(n, g) for n, g in zip(want, itertools.cycle([None, "unmapped", ""]))]}, {"row_id": 2, "skills": [skill("dolmetschen", "Simultaneous Interpreting")] * 2},
             {"row_id": 3}, {"row_id": 4, "skills": []}]
     got = canonical.map_skills(with_clashes(build(spark, "output_default", rows)), build(spark, "skill_ref", REF)).collect()
     assert {(r.row_id, r.skill_pos): r.skill_id for r in got} == {(1, i): v for i, v in enumerate(want.values())}
@@ -33,6 +33,31 @@ def test_map_skills(spark):
     assert canonical.map_skills(null_rows(spark, "output_default"), null_rows(spark, "skill_ref")).count() == 0
 
 
+def _mapped(spark, names, ref=REF):
+    rows = [{"row_id": 1, "skills": [skill(n, g) for n, g in names]}]
+    got = canonical.map_skills(build(spark, "output_default", rows), build(spark, "skill_ref", ref)).collect()
+    return {r.name: r.skill_id for r in got}
+
+
+def test_threshold_and_margin_decide(spark, monkeypatch):
+    ref = [*REF, {"skill_id": 8, "canonical_name": "Image Segmentation"}, {"skill_id": 9, "canonical_name": "Imago Segmentation"}, {"skill_id": 10, "canonical_name": "Twofold"}, {"skill_id": 11, "canonical_name": "twofold"}]
+    names = {"Imagx Segmentation": -1, "Twofold": -1, "Image Segmentatoin": 8, "trnix": 2}
+    assert _mapped(spark, [(n, None) for n in names], ref) == names
+    # Without the margin the value between two entries is given to one of them, without the threshold a weaker likeness is accepted.
+    monkeypatch.setattr(canonical, "MIN_MARGIN", 0.0)
+    loose = _mapped(spark, [(n, None) for n in names], ref)
+    assert loose["Imagx Segmentation"] in (8, 9) and loose["Twofold"] in (10, 11)
+    monkeypatch.setattr(canonical, "MIN_COSINE", 0.95)
+    assert _mapped(spark, [(n, None) for n in names], ref)["trnix"] == -1
+
+
+def test_one_wrong_row_teaches_no_alias(spark):
+    names = [("falconry", "Ternix"), ("falconry", None)]
+    assert _mapped(spark, names) == {"falconry": -1}
+    mixed = [("dolmetschen", "Simultaneous Interpreting")] * 12 + [("dolmetschen", "Ternix"), ("dolmetschen", None)]
+    assert _mapped(spark, mixed) == {"dolmetschen": 5}
+
+
 def test_survivors(spark):
     def row(i, g, name, day, **k):
         return {"row_id": i, "group_id": g, "full_name": name, "updated_at": at(day) if day else None, **k}
