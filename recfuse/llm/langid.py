@@ -7,7 +7,7 @@ The temperature of the softmax is fitted on held-out units, and units whose best
 are left undecided.
 
 Fitting sees a bounded sample of labelled rows (``TrainConfig.docs_per_language``), taken by a hash of
-the key; classification covers every document, as one narrow stage. The model is a fixed-size table.
+the key, and of each at most ``units_per_doc`` units drawn from the whole text; classification covers every document, as one narrow stage. The model is a fixed-size table.
 """
 
 from __future__ import annotations
@@ -44,11 +44,12 @@ NOTATIONS = {
 class TrainConfig:
     """Parameters of the fit; ``docs_per_language`` bounds the sample that reaches the driver."""
 
-    docs_per_language: int = 400
-    max_chars: int = 800  # of a training document; classification reads whole texts
+    docs_per_language: int = 500
+    units_per_doc: int = 6  # drawn from the whole of a training document; classification reads every unit
+    features_per_unit: int = 200  # drawn from a training unit
     bits: int = 17
-    dim: int = 8
-    epochs: int = 3
+    dim: int = 12
+    epochs: int = 5
     rounds: int = 2
     rate: float = 8.0
     batch: int = 128
@@ -84,9 +85,9 @@ def units(text: str) -> list[tuple[int, int]]:
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Of every code point of the basic plane: its lower case, or 0 if it is no letter."""
-    low = np.zeros(0x10000, np.uint32)
-    for i in range(0x10000):
+    """Of every code point: its lower case, or 0 if it is no letter."""
+    low = np.zeros(0x110000, np.uint32)
+    for i in range(0x110000):
         c = chr(i)
         if c.isalpha():
             x = c.lower()
@@ -97,19 +98,20 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 _LOWER: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def features(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashed buckets of the words and n-grams (1 to 5) of a text.
+def gram_runs(text: str, bits: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """``(positions, hashed buckets, weight)`` of the n-grams (1 to 5) and the words of a text, each in order of position.
 
-    An n-gram has letters only, but for a word boundary at either end; boundaries are all alike.
+    An n-gram has letters only, but for a word boundary at either end; boundaries are all alike. A word
+    counts three times.
     """
     if not _LOWER:
         _LOWER.append(_tables())
     low = _LOWER[0][0]
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    c = np.where(cp < 0x10000, low[np.minimum(cp, 0xFFFF)], 0).astype(np.uint64)
+    c = low[cp].astype(np.uint64)
     letter = c > 0
     n = c.size
-    at, out = [], []
+    runs: list[tuple[np.ndarray, np.ndarray, int]] = []
     mask = np.uint64((1 << bits) - 1)
     h = np.zeros(n, np.uint64)
     inner = np.ones(n, bool)  # all but the ends are letters
@@ -126,22 +128,25 @@ def features(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
         i = np.flatnonzero(ok)
         x = h[i] ^ (h[i] >> np.uint64(29))
         x = x * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(k)
-        out.append(((x >> np.uint64(32)) & mask).astype(np.int64))
-        at.append(i)
+        runs.append((i, ((x >> np.uint64(32)) & mask).astype(np.int64), 1))
     starts = np.flatnonzero(letter & ~np.concatenate(([False], letter[:-1])))
-    if starts.size:  # whole words, three times each
+    if starts.size:
         inside = np.flatnonzero(letter)
         first = np.searchsorted(inside, starts)
         place = np.arange(inside.size) - np.repeat(first, np.diff(np.append(first, inside.size)))
         powers = np.cumprod(np.full(64, 0x100000001B3, np.uint64))
         x = np.add.reduceat(c[inside] * powers[place % 64], first)
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-        word = ((x >> np.uint64(32)) & mask).astype(np.int64)
-        at += [starts] * 3
-        out += [word] * 3
-    if not at:
+        runs.append((starts, ((x >> np.uint64(32)) & mask).astype(np.int64), 3))
+    return runs
+
+
+def features(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashed buckets of the n-grams and words of a text, each as often as it counts."""
+    runs = [(at, buckets) for at, buckets, weight in gram_runs(text, bits) for _ in range(weight)]
+    if not runs:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(at), np.concatenate(out)
+    return np.concatenate([at for at, _ in runs]), np.concatenate([buckets for _, buckets in runs])
 
 
 def _mask(text: str) -> str:
@@ -160,12 +165,19 @@ class Model:
 
     def unit_logits(self, text: str, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
         """Calibrated log-probabilities of each span, and its number of letters."""
-        at, buckets = features(text, self.config.bits)
         k = len(spans)
         starts = np.array([a for a, _ in spans])
-        unit = np.searchsorted(starts, at, "right") - 1
-        counts = np.bincount(unit, minlength=k)
-        sums = np.stack([np.bincount(unit, self.scores[buckets, j], k) for j in range(self.scores.shape[1])], 1)
+        counts = np.zeros(k)
+        sums = np.zeros((k, self.scores.shape[1]))
+        for at, buckets, weight in gram_runs(text, self.config.bits):
+            if not at.size:
+                continue
+            # Positions ascend, so the rows of a unit lie together.
+            cut = np.append(np.searchsorted(at, starts), at.size)
+            size = np.diff(cut)
+            some = np.flatnonzero(size)
+            counts += weight * size
+            sums[some] += weight * np.add.reduceat(self.scores[buckets], cut[some], 0)
         z = (sums / np.maximum(counts, 1)[:, None] + self.bias) / self.temperature
         z -= z.max(1, keepdims=True)
         z -= np.log(np.exp(z).sum(1, keepdims=True))
@@ -192,6 +204,8 @@ class Model:
             if letters.sum() < 2 * self.config.min_letters:
                 return []
             whole, _ = self.unit_logits(clean, [(0, len(clean))])
+            if np.exp(whole.max()) < self.config.min_probability:
+                return []  # in none of the languages, as far as can be told
             decided = letters > 0
             logp = np.repeat(whole, len(spans), 0)
         use = np.flatnonzero(decided)
@@ -241,7 +255,7 @@ def _softmax_fit(feats: list[np.ndarray], y: np.ndarray, cfg: TrainConfig, rng:
             ids = np.concatenate([feats[i] for i in rows])
             n = np.array([feats[i].size for i in rows])
             bounds = np.concatenate(([0], np.cumsum(n)[:-1]))
-            mean = np.add.reduceat(emb[ids], bounds, 0) / n[:, None]
+            mean = np.add.reduceat(emb[ids], bounds, 0) / n[:, None].astype(np.float32)
             z = mean @ out + bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
@@ -250,10 +264,11 @@ def _softmax_fit(feats: list[np.ndarray], y: np.ndarray, cfg: TrainConfig, rng:
             back = p @ out.T
             out -= rate * (mean.T @ p)
             bias -= rate * p.sum(0)
-            grad = np.repeat(back / n[:, None], n, 0) * (rate * 32)
-            uniq, inv = np.unique(ids, return_inverse=True)
-            for j in range(d):
-                emb[uniq, j] -= np.bincount(inv, grad[:, j], uniq.size).astype(np.float32)
+            grad = np.repeat((back / n[:, None] * (rate * 32)).astype(np.float32), n, 0)
+            by = np.argsort(ids, kind="stable")
+            ranked = ids[by]
+            first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+            emb[ranked[first]] -= np.add.reduceat(grad[by], first, 0)
     return (emb @ out).astype(np.float32), bias
 
 
@@ -270,18 +285,21 @@ def fit(samples: list[tuple[str, str]], cfg: TrainConfig = TrainConfig()) -> Mod
     feats: list[np.ndarray] = []
     y, doc = [], []
     for d, (text, lang) in enumerate(samples):
-        clean = _mask(text[: cfg.max_chars])
+        clean = _mask(text)
         plain = _strip_accents(clean)
         for version in (clean, plain) if plain != clean else (clean,):
             at, buckets = features(version, cfg.bits)
             spans = units(version)
             unit = np.searchsorted(np.array([a for a, _ in spans]), at, "right") - 1 if spans else at
-            for u in range(len(spans)):
+            size = np.bincount(unit, minlength=len(spans)) if spans else np.zeros(0, int)
+            full = np.flatnonzero(size >= 40)
+            for u in np.sort(rng.choice(full, min(full.size, cfg.units_per_doc), replace=False)):
                 f = buckets[unit == u]
-                if f.size >= 40:
-                    feats.append(f.astype(np.int32))
-                    y.append(code[lang])
-                    doc.append(d)
+                if f.size > cfg.features_per_unit:
+                    f = rng.choice(f, cfg.features_per_unit, replace=False)
+                feats.append(f.astype(np.int32))
+                y.append(code[lang])
+                doc.append(d)
     if not feats:
         return Model(np.zeros((1 << cfg.bits, len(LANGUAGES)), np.float32), np.zeros(len(LANGUAGES), np.float32), 1.0, cfg)
     y, doc = np.array(y), np.array(doc)
@@ -324,7 +342,7 @@ def training_sample(docs: DataFrame, cfg: TrainConfig, key: str, text: str, labe
         return []
     share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, cfg.docs_per_language / n)))])
     draw = (F.pmod(F.xxhash64("k", F.lit(cfg.seed)), F.lit(1 << 30)) / float(1 << 30)) < F.element_at(share, F.col("lang"))
-    rows = named.where(draw).select("k", F.substring("t", 1, cfg.max_chars).alias("t"), "lang")
+    rows = named.where(draw).select("k", "t", "lang")
     rows = rows.limit(2 * cfg.docs_per_language * len(LANGUAGES)).collect()  # the draw is random, the limit its hard bound
     return [(r["t"], r["lang"]) for r in sorted(rows, key=lambda r: (r["k"], r["t"]))]
 

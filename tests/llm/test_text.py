@@ -199,3 +199,12 @@ def test_reliabilities_recover_good_labelers():
     p, rates = pii.reliabilities(np.array(votes).T, 20)
     assert ((p > 0.5) == truth).mean() > 0.9
     assert rates[1, 0, 2] > rates[1, 2, 2]
+
+
+def test_undecided_texts_are_rejected(model):
+    import numpy as np
+
+    blank = langid.Model(np.zeros_like(model.scores), np.zeros(len(langid.LANGUAGES)), 1.0, model.config)
+    assert blank.segments("Tohle je věta v jazyce, který model nezná. A ještě jedna taková věta.") == []
+    at, buckets = langid.features("𐐀𐐁𐐂 x", 14)
+    assert 0 in at and buckets.size > 4  # letters beyond the basic plane are letters
