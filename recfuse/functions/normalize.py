@@ -69,6 +69,11 @@ CALLING_CODES = {
 }
 
 
+def real(c: Column) -> Column:
+    """A number, or null for NaN, which would be the largest of all."""
+    return F.when(~F.isnan(c), c)
+
+
 def literal_map(values: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(sorted(values.items()))])
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recfuse.functions.normalize import literal_map
+from recfuse.functions.normalize import literal_map, real
 from recfuse.functions.text import key_email, key_lower, key_phone, key_text, key_url, null_blank
 from recfuse.schema import SOURCE_PRIORITY, UNKNOWN_PRIORITY
 
@@ -183,6 +183,18 @@ def provenance_summary(members: DataFrame) -> DataFrame:
     )
 
 
+def largest(members: DataFrame, *fields: str) -> DataFrame:
+    """``(group_id, *fields)``: the largest value of number fields; NaN is no value, a group without one gives null."""
+    kinds = {f.name: f.dataType.simpleString() for f in members.schema.fields}
+    value = lambda f: real(F.col(f)) if kinds[f] in ("double", "float") else F.col(f)
+    return members.groupBy("group_id").agg(*[F.max(value(f)).alias(f) for f in fields])
+
+
+def several_records(members: DataFrame) -> DataFrame:
+    """``(group_id, n)``: the groups of more than one record."""
+    return members.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def fuse(members: DataFrame, strategy: str = "source_priority", overrides: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Golden records and the fused scalars they rest on (for conflicts and agreement)."""
     scalars = fuse_scalars(members, strategy, overrides)
@@ -191,11 +203,11 @@ def fuse(members: DataFrame, strategy: str = "source_priority", overrides: dict[
         *[F.max(F.when(F.col("field") == f, F.col("agreed"))).alias(f"{f}_agreed") for f in ("full_name", "headline", "location")],
         F.sum((~F.col("agreed")).cast("int")).alias("conflict_count"),
     )
-    facts = members.groupBy("group_id").agg(
-        F.count(F.lit(1)).alias("merged_records"), F.array_sort(F.collect_set("source_type")).alias("source_types"), F.max("years_of_experience").alias("years_experience"),
-        F.max("github_stars").alias("github_stars"), F.max("github_repos").alias("github_repos"), F.max("mapped_at").alias("updated_at"), F.min("mapped_at").alias("created_at"),
+    facts = largest(members, "years_of_experience", "github_stars", "github_repos").withColumnRenamed("years_of_experience", "years_experience")
+    facts = facts.join(members.groupBy("group_id").agg(
+        F.count(F.lit(1)).alias("merged_records"), F.array_sort(F.collect_set("source_type")).alias("source_types"), F.max("mapped_at").alias("updated_at"), F.min("mapped_at").alias("created_at"),
         F.sha2(F.concat_ws("|", F.array_sort(F.collect_set(F.concat_ws(":", "source_type", "record_id")))), 256).alias("candidate_id"),
-    )
+    ), "group_id")
     out = facts.join(wide, "group_id", "left")
     for part in (
         ordered_union(members, "emails", key_email), ordered_union(members, "phones", key_phone), ordered_union(members, "certifications", key_lower),

@@ -72,7 +72,7 @@ def map_columns(
             mapped.append(F.when(F.size(cols[target]) > 0, F.lit(target)))
         else:
             value = F.coalesce(*reversed(values))
-            cols[target] = value.try_cast("double") if target == "years_of_experience" else value
+            cols[target] = N.real(value.try_cast("double")) if target == "years_of_experience" else value
             mapped.append(F.when(value.isNotNull(), F.lit(target)))
         for (_, shown), v in zip(sources, values):
             method = "direct" if shown == target else "alias"
@@ -126,7 +126,7 @@ def map_profiles(ats: DataFrame, source_type: str = "ats", at: str = "updated_at
     fields = {
         "first_name": own("first_name"), "last_name": own("last_name"), "emails": one("email"), "phones": one("phone"), "location": own("location"),
         "headline": own("headline"), "current_company": null_blank(F.col("current_position.company")), "current_title": null_blank(F.col("current_position.title")),
-        "years_of_experience": F.col("years_experience").cast("double"), "skills": F.coalesce("skills", F.array().cast("array<string>")),
+        "years_of_experience": N.real(F.col("years_experience").cast("double")), "skills": F.coalesce("skills", F.array().cast("array<string>")),
         "experience": F.transform(F.filter("experience", lambda e: e.isNotNull()), job), "education": F.transform(F.filter("education", lambda e: e.isNotNull()), school),
         "github_url": own("github_url"), "linkedin_url": own("linkedin_url"),
     }
@@ -260,7 +260,7 @@ def map_generic_json(raw: DataFrame, key: str, payload: str, ord_col: str, at: C
     full = base.select("ord", "record_id", "mapped_at").join(found, ["ord", "record_id"], "left")
     packed = F.flatten(F.transform(F.coalesce("skills", F.array().cast("array<string>")), N.split_skills))
     out = full.withColumns(
-        {"source_type": F.lit("ats"), "source_label": F.lit("generic"), "skills": packed, "years_of_experience": F.col("years_of_experience").try_cast("double"),
+        {"source_type": F.lit("ats"), "source_label": F.lit("generic"), "skills": packed, "years_of_experience": N.real(F.col("years_of_experience").try_cast("double")),
          "github_stars": F.col("github_stars").try_cast("long"), "github_repos": F.col("github_repos").try_cast("long"), "provenance": F.array().cast(PROVENANCE)}
     )
     return infer(align(out))

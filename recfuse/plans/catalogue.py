@@ -558,12 +558,19 @@ def fuse_experience(spark, d):
     return e.select("group_id", F.array_join(F.transform("experience", lambda x: F.concat_ws(" / ", x["company"], x["title"])), ";").alias("jobs"))
 
 
-@query("SELECT group_id, max(years_experience) AS years FROM output_ats_export GROUP BY group_id")
+@query("SELECT group_id, max(CASE WHEN NOT isnan(years_experience) THEN years_experience END) AS years FROM output_ats_export GROUP BY group_id")
 def fuse_years_max(spark, d):
-    return job_members(spark, d).groupBy("group_id").agg(F.max("years_of_experience").alias("years"))
+    return fusion.largest(job_members(spark, d), "years_of_experience").withColumnRenamed("years_of_experience", "years")
 
 
-@query()
+@query(
+    f"""WITH r AS (SELECT row_id AS ord, candidate_id AS group_id, education FROM ats_sample), i AS (SELECT group_id, ord, unnest(education) AS e, generate_subscripts(education, 1) AS pos FROM r),
+    k AS (SELECT group_id, (ord, pos) AS place, nullif(e.institution, '') AS institution, nullif(e.degree, '') AS degree, nullif(e.end_date, '') AS end_date,
+      concat_ws('|', {_KEY.format("coalesce(e.institution, '')")}, {_KEY.format("coalesce(e.degree, '')")}, substr(coalesce(e.end_date, ''), 1, 4)) AS k FROM i WHERE e IS NOT NULL),
+    f AS (SELECT group_id, k, min(place) AS place, arg_min(institution, place) FILTER (institution IS NOT NULL) AS institution, arg_min(degree, place) FILTER (degree IS NOT NULL) AS degree, arg_min(end_date, place) FILTER (end_date IS NOT NULL) AS end_date FROM k GROUP BY 1, 2)
+    SELECT group_id, string_agg(concat_ws(' / ', institution, degree), ';' ORDER BY coalesce(try_cast(nullif(regexp_extract(end_date, '^(\\d{{4}})', 1), '') AS INT), 0) DESC, coalesce(try_cast(nullif(regexp_extract(end_date, '^\\d{{4}}-(\\d{{2}})', 1), '') AS INT), 0) DESC, place) AS schools
+    FROM f WHERE institution IS NOT NULL GROUP BY group_id"""
+)
 def fuse_education(spark, d):
     """Schools of each ATS candidate, delivered more than once, as one list."""
     r = mapping.map_profiles(table(spark, d, "ats_sample")).join(table(spark, d, "ats_sample").select(F.col("row_id").alias("ord"), F.col("candidate_id").alias("group_id")), "ord")
@@ -600,7 +607,7 @@ def provenance_latest(spark, d):
 
 @query("SELECT group_id, count(*) AS n FROM output_default GROUP BY group_id HAVING count(*) > 1")
 def multi_source_only(spark, d):
-    return table(spark, d, "output_default").groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return fusion.several_records(profile_members(spark, d))
 
 
 # ---------------------------------------------------------------- quality
@@ -638,18 +645,58 @@ def field_confidence(spark, d):
     return m.select("group_id", F.round(quality.field_confidence(F.lit(True), F.col("s"), F.lit(True)), 4).alias("confidence"))
 
 
+def _weighted(parts: dict[str, str]) -> str:
+    """Overall confidence of a record of one ``ats`` source, from what says whether each field is there; a place that is empty counts without a source."""
+    of = lambda f, c: "CASE WHEN location.city IS NOT NULL THEN 0.95 ELSE 0.45 END" if f == "location" else f"CASE WHEN {c} THEN 0.95 ELSE 0.0 END"
+    return "(" + " + ".join(f"({of(f, c)}) * {FIELD_WEIGHT[f]}" for f, c in parts.items()) + f") / {sum(FIELD_WEIGHT.values())}"
+
+
+_HAS = {
+    "full_name": "full_name IS NOT NULL", "emails": "coalesce(len(emails), 0) > 0", "phones": "coalesce(len(phones), 0) > 0", "location": "true", "headline": "headline IS NOT NULL",
+    "years_experience": "years_experience IS NOT NULL AND NOT isnan(years_experience)", "skills": "coalesce(len(skills), 0) > 0", "experience": "coalesce(len(experience), 0) > 0",
+    "education": "false", "links": "coalesce(len(links), 0) > 0",
+}
+_HAS = {f: _HAS[f] for f in FIELD_WEIGHT}
+_COMPLETE_SQL = " + ".join(f"({c})::INT" for c in _HAS.values())
+
+
 @query(
-    "SELECT round(" + " + ".join(f"{w} * 0.8" for w in FIELD_WEIGHT.values()) + f", 4) / {sum(FIELD_WEIGHT.values())} AS overall FROM (SELECT 1)"
+    f"""SELECT row_id, round_even({_weighted(_HAS)}, 4) AS overall, round_even(({_COMPLETE_SQL}) / {len(_HAS)}.0, 4) AS completeness,
+    round_even(1 - least(1.0, 0.15 * ({_backwards_sql('experience')} + CASE WHEN NOT isnan(years_experience) AND (years_experience < 0 OR years_experience > 60) THEN 1 ELSE 0 END)), 4) AS consistency, 1.0::DOUBLE AS agreement,
+    round_even(coalesce(exp(-ln(2.0) * (epoch_us(TIMESTAMPTZ '2026-01-01 00:00:00+00') - epoch_us(updated_at)) / 86400000000.0 / 180.0), 1.0), 4) AS freshness FROM output_ats_export"""
 )
-def overall_weights(spark, d):
-    """Overall confidence of a profile whose fields all have 0.8."""
-    total = sum((F.lit(0.8) * w for w in FIELD_WEIGHT.values()), F.lit(0.0))
-    return spark.range(1).select((F.round(total, 4) / sum(FIELD_WEIGHT.values())).alias("overall"))
+def quality_scores(spark, d):
+    """The five axes of every exported profile, each a record of one source."""
+    t = table(spark, d, "output_ats_export").withColumns({"years_experience": N.real(F.col("years_experience")), "education": F.array().cast("array<struct<start_date:string,end_date:string>>"), "group_id": F.col("row_id")})
+    null = F.lit(None).cast("string")
+    known = lambda c, has: F.when(has, c)
+    members = t.select(
+        "group_id", F.lit("ats").alias("source_type"), F.col("updated_at").alias("mapped_at"), "full_name", "emails", "phones", F.col("location.city").alias("location"), "headline",
+        F.col("years_experience").alias("years_of_experience"), "skills", "experience", "education", known(F.lit("x"), F.size("links") > 0).alias("github_url"), null.alias("linkedin_url"), null.alias("website"),
+    )
+    alone = t.drop("quality_metrics", "overall_confidence").withColumns({f"{f}_agreed": F.lit(True) for f in ("full_name", "headline", "location")})
+    q = quality.score(alone, members, F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    m = F.col("quality_metrics")
+    return q.select("row_id", F.col("overall_confidence").alias("overall"), m["completeness"].alias("completeness"), m["consistency"].alias("consistency"), m["agreement"].cast("double").alias("agreement"), m["freshness"].alias("freshness"))
 
 
 # ---------------------------------------------------------------- projection and validation
 
 
+@query(
+    """SELECT row_id, coalesce(headline, 'none') AS headline, CASE WHEN coalesce(len(emails), 0) = 0 THEN 'missing@nowhere.example' ELSE array_to_string(emails, ';') END AS emails,
+    coalesce(location.state, 'n/a') AS state, array_to_string(emails, '+') AS joined FROM output_default"""
+)
+def project_defaults(spark, d):
+    """Defaults of plain, list and nested fields, and a joined list."""
+    spec = Projection.of({"fields": [
+        {"source": "row_id"}, {"source": "headline", "default": "none"}, {"source": "emails", "default": ["missing@nowhere.example"]}, {"source": "location.state", "default": "n/a"},
+    ]})
+    t = table(spark, d, "output_default")
+    p = project(t, spec).select("row_id", "headline", F.array_join("emails", ";").alias("emails"), "state")
+    return p.join(t.select("row_id", F.array_join("emails", "+").alias("joined")), "row_id")
+
+
 @query(
     f"""SELECT row_id, {_TITLE.format('full_name')} AS name, emails[1] AS primary_email, phones[1] AS primary_phone, headline, location.city AS city, location.country AS country,
     array_to_string(list_filter(list_transform(skills, lambda s: s.normalized_name), lambda x: x IS NOT NULL), ';') AS skills, overall_confidence AS profile_confidence FROM output_default"""
@@ -705,7 +752,7 @@ _ISSUES_SQL = rf"""issues AS (
   UNION ALL SELECT row_id, 'no_duplicate_phones', 'warning' FROM output_ats_export WHERE len(list_distinct(phones)) < len(phones)
   UNION ALL SELECT row_id, 'no_duplicate_skills', 'warning' FROM output_ats_export WHERE len(list_distinct(list_transform(skills, lambda s: lower(s.name)))) < len(skills)
   UNION ALL SELECT row_id, 'years_experience_range', 'error' FROM output_ats_export WHERE years_experience < 0
-  UNION ALL SELECT row_id, 'years_experience_range', 'warning' FROM output_ats_export WHERE years_experience > 60
+  UNION ALL SELECT row_id, 'years_experience_range', 'warning' FROM output_ats_export WHERE years_experience > 60 AND NOT isnan(years_experience)
   UNION ALL SELECT row_id, 'min_confidence', 'warning' FROM output_ats_export WHERE overall_confidence < 0.2
   UNION ALL SELECT row_id, 'primary_email_present', 'warning' FROM output_ats_export WHERE emails IS NULL OR len(emails) = 0
   UNION ALL SELECT row_id, 'no_empty_name', 'warning' FROM output_ats_export WHERE full_name IS NOT NULL AND trim(full_name) = ''
@@ -735,6 +782,25 @@ def validate_pass_rate(spark, d):
     return validation.statistics(_validated(spark, d))
 
 
+_LOGIN = r"regexp_extract(github_url, '(?i)github\.(?:com|example)/([^/?#\s]+)', 1)"
+
+
+@query(
+    rf"""WITH v AS (
+      SELECT row_id, 'url_format' AS rule, 'warning' AS severity FROM (SELECT row_id, github_url AS u FROM ats_sample UNION ALL SELECT row_id, linkedin_url FROM ats_sample) WHERE u <> '' AND NOT regexp_matches(u, '^https?://')
+      UNION ALL SELECT row_id, 'education_dates_ordered', 'error' FROM (SELECT row_id, unnest(education) AS x FROM ats_sample) WHERE {_YM.format('x.start_date')} >= 100 AND {_YM.format('x.end_date')} >= 100 AND {_YM.format('x.start_date')} > {_YM.format('x.end_date')}
+      UNION ALL SELECT row_id, 'no_future_graduation', 'warning' FROM (SELECT row_id, unnest(education) AS x FROM ats_sample) WHERE try_cast(nullif(regexp_extract(x.end_date, '^(\d{{4}})', 1), '') AS INT) > 2020
+      UNION ALL SELECT row_id, 'github_username_format', 'warning' FROM (SELECT row_id, {_LOGIN} AS g FROM ats_sample) WHERE g <> '' AND NOT regexp_full_match(g, '[a-zA-Z0-9](?:[a-zA-Z0-9\-]{{0,37}}[a-zA-Z0-9])?')
+    ) SELECT row_id, rule, severity, count(*) AS n FROM v GROUP BY 1, 2, 3"""
+)
+def validate_links_education(spark, d):
+    """Links, logins and schools of the ATS rows; the year is set so that some schools end too far ahead."""
+    login = F.regexp_extract("github_url", r"(?i)github\.(?:com|example)/([^/?#\s]+)", 1)
+    t = table(spark, d, "ats_sample").select("row_id", "github_url", "linkedin_url", "education", login.alias("github_username"))
+    checked = validation.validate(t, validation.Rules(current_year=2010))
+    return validation.issue_rows(checked, "row_id").groupBy("row_id", "rule", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- whole dataflow and streams
 
 

@@ -136,3 +136,25 @@ def test_splitting_matches_brute_force(spark):
     df = explode_packed(spark.createDataFrame(rows, "row_id long, skills string"), "row_id", "skills")
     got = {r.row_id: [x.value for x in sorted(r.v, key=lambda x: x.pos)] for r in df.groupBy("row_id").agg(F.collect_list(F.struct("pos", "value")).alias("v")).collect()}
     assert got == want
+
+
+def test_nan_is_no_number(spark):
+    from recfuse.operators import fusion, quality, validation
+
+    nan = float("nan")
+    m = spark.createDataFrame([(1, nan), (1, 7.0), (2, nan), (3, None)], "group_id long, years_of_experience double")
+    assert {r.group_id: r.years_of_experience for r in fusion.largest(m, "years_of_experience").collect()} == {1: 7.0, 2: None, 3: None}
+    p = spark.createDataFrame([(nan,), (61.0,), (-1.0,)], "years_experience double")
+    rules = [[i.rule for i in r.issues] for r in p.select(validation.issues_of(p).alias("issues")).collect()]
+    assert rules == [[], ["years_experience_range"], ["years_experience_range"]]
+    none = F.array().cast("array<struct<start_date:string,end_date:string>>")
+    assert [r.n for r in p.select(quality.violations(none, none, F.col("years_experience")).alias("n")).collect()] == [0, 1, 1]
+
+
+def test_list_defaults(spark):
+    from recfuse.operators.projection import Projection, project
+
+    t = spark.createDataFrame([(1, [], None), (2, ["a"], {"x": "y"}), (3, None, {})], "row_id long, emails array<string>, m map<string,string>")
+    spec = Projection.of({"fields": [{"source": "row_id"}, {"source": "emails", "default": ["none"]}, {"source": "m", "default": {"k": "v"}}]})
+    got = {r.row_id: (r.emails, r.m) for r in project(t, spec).collect()}
+    assert got == {1: (["none"], {"k": "v"}), 2: (["a"], {"x": "y"}), 3: (["none"], {"k": "v"})}
