@@ -1,10 +1,10 @@
 """Personal information in free text, found by weak supervision and replaced by typed placeholders.
 
 Candidate spans come from generous patterns. Labelers (the shape of a span, gazetteers of given and
-family names, the words around it) vote for or against each candidate, or abstain. For every kind,
-expectation-maximisation estimates how reliable each labeler is and how probable each candidate; with
-these probabilities as soft labels a logistic span classifier over hashed features is trained, which
-decides. Fitting sees a bounded sample of texts (``FitConfig.texts``) and bounded gazetteers
+family names, words that name a kind, the place in the sentence) vote for or against each candidate, or
+abstain. For every kind, expectation-maximisation estimates how reliable each labeler is and how probable
+each candidate; what stands around the surer candidates is learned and votes too. With the resulting
+probabilities as soft labels a logistic span classifier over hashed features is trained, which decides. Fitting sees a bounded sample of texts (``FitConfig.texts``) and bounded gazetteers
 (``FitConfig.names``); classification reads every text whole, as one narrow stage.
 """
 
@@ -36,6 +36,7 @@ class FitConfig:
     rate: float = 0.5
     decay: float = 1e-6
     iterations: int = 15
+    rounds: int = 2  # in which the context is learned and votes
     seed: int = 11
 
 
@@ -131,9 +132,6 @@ def name_runs(text: str, given: frozenset[str], family: frozenset[str]) -> list[
             return "I"
         if b - a < 2:
             return ""
-        if low in _HOMOGRAPHS and w[0].isupper() and re.match(r"\s+[a-z]{2,}", text[b : b + 20]):
-            if not _NAME_RIGHT.match(text[b : b + 40]) and not _NAME_LEFT.search(text[max(0, a - 40) : a]):
-                return ""
         if low in _HOMOGRAPHS and w.islower() and not _NAME_LEFT.search(text[max(0, a - 40) : a]):
             follows = text[words[k + 1][0] : words[k + 1][1]].lower() if k + 1 < len(words) else ""
             if follows not in family:
@@ -211,39 +209,26 @@ _ID_SHAPE = re.compile(
 _NUMBER_NOT = re.compile(
     r"(?:\bfile\sid|\bbatch|\bticket|\binvoice|\brechnung|\bfacture|\breq(?:uisition)?|\bref(?:erence)?|\border|\bv\d[\d.]*|\broom|\bversion|\bcase|\bpo|\bjob)\W{0,3}$", re.I
 )
-_PHONE_LEFT = re.compile(
-    r"(?:tel\.?|phone|mob(?:ile)?|call(?:\sback)?(?:\son)?|try|number|reach\w*(?:\sat)?|unter|jointe?\sau|strike|cell|fax|handy|telefon|whatsapp|text|ring|dial|on-call\sphone)\W{0,3}$"
-    r"|(?:manager|contact)\b[^;\n\d]{0,40}[,(]\s*$", re.I
-)
+#: Words that say what a number is, in several languages. Fixed values.
+_PHONE_LEFT = re.compile(r"\b(?:tel\.?|phone|mob(?:ile)?|call|number|cell|fax|handy|telefon|téléphone|teléfono|whatsapp|text|ring|dial)\W{0,3}$", re.I)
 _ID_LEFT = re.compile(
-    r"(?:passport|security\sno|tax\snumber\sgiven\sas|badge|copy\son\sfile|ausweis-?nr|documento|verified|file\slists|\bid|ssn|national\sid|licen[cs]e(?:\sno)?|identity\s\w+|personnummer|dni|nif|pesel)\W{0,4}$", re.I
+    r"\b(?:passport|security\sno|tax\s(?:no|number|id)|badge|ausweis(?:-?nr)?|documento|id|ssn|national\sid|licen[cs]e(?:\sno)?|identity\s\w+|personnummer|dni|nif|pesel)\W{0,4}$", re.I
 )
-_ID_RIGHT = re.compile(r"^\W{0,2}(?:against\sthe\sscan|checked\son|cleared\sfor)", re.I)
-_PHONE_RIGHT = re.compile(r"^\W{0,2}(?:after\s\d|is\sout\sof\sorder|from\sthe\sfile|instead|/\smail)", re.I)
-_ADDRESS_LEFT = re.compile(r"(?:\bat|wohnhaft|vive\sen|lives\sat|adresse\s?:|address(?:\s\w+)?|:|,|office|home|habite|residente|indirizzo|adres)\s*$", re.I)
+_ADDRESS_LEFT = re.compile(r"(?:\bat|\baddress|\badresse|\bindirizzo|\badres|\bdirección|:|,)\s*$", re.I)
 _ADDRESS_RIGHT = re.compile(rf"^\.?,\s*(?:\d\w?º\s?\w?,?\s*)?(?:\d{{3}}\s?\d{{2,3}}\s+)?{_CAP}")
-_NAME_LEFT = re.compile(
-    r"(?:spoke\s(?:to|with)|interview\swith|referee\sis|habló\scon|contact:?|c/o|came\sthrough|reported\sto|team\sof|manager:|mit|met|with|emergency\scontact|called|by|from)\s$"
-    r"|(?:\b(?:Dr|Mr|Mrs|Ms|Mme|Mlle|M|Prof|Herrn?|Frau|Sr|Sra)\.?)\s$",
-    re.I,
-)
-_NAME_RIGHT = re.compile(
-    r"^(?:\s(?:says|can\sgive|went\swell|about\sthe|from\sthe\s\w+\sdesk|préfère|and\sran|confirmed)|,\s(?:reachable|formerly)|:\serreichbar|\s<|\s\((?:[+(\d]|zero|one|two|three|four|five|six|seven|eight|nine))", re.I
-)
-_NAME_NOT_LEFT = re.compile(
-    r"(?:\bat|\bnear|\bto|\bin|\bon|\bde|\bdes|\bdu|\bfor|für|\bcompany|built|maintained|uses|werk|via|joined|formerly\sat|rue|avenue|move\sto|grounding\sin)\s$", re.I
-)
-_NAME_NOT_RIGHT = re.compile(
-    r"^(?:\sto\swork|\sintake|\speriod|\sas\shold|\scall\sback|\sservices|\sv\d|\s(?:AG|GmbH|Ltd|LLC|Inc|AB|B\.?V|S\.?A|S\.p\.A|Pvt|Nagar)\b|,?\s\d{3,}|\s\d+[a-z]?,)", re.I
-)
-#: First words of sentences and other capitalised words that begin no name. Fixed values.
-_COMMON = frozenset(
-    "interview spoke referee documents emergency contact intro reported took line owned based solid looking mark grace will may joy speaks prefers scored"
-    " room meets listed verantwortlich suivi built led wrote migrated maintained reduced responsible point work badge gute bonne buen uses file batch invoice"
-    " worked asked number call new address lives vive wohnhaft adresse home office visa tax social passport ausweis verified mail habló number id documento".split()
-)
+_NAME_LEFT = re.compile(r"\b(?:with|mit|con|avec|by|contact:?|c/o|Dr|Mr|Mrs|Ms|Mme|Mlle|M|Prof|Herrn?|Frau|Sr|Sra)\.?\s$", re.I)
+_NAME_RIGHT = re.compile(r"^\s?(?:<|\((?:\+|\(?\d))")
+_NAME_NOT_LEFT = re.compile(r"\b(?:at|near|in|on|de|des|du|for|für|via|rue|avenue)\s$", re.I)
+_NAME_NOT_RIGHT = re.compile(r"^(?:\s(?:AG|GmbH|Ltd|LLC|Inc|AB|B\.?V|S\.?A|S\.p\.A|Pvt)\b|,?\s\d{3,}|\s\d+[a-z]?,)", re.I)
+_SENTENCE_START = re.compile(r"(?:^|[.!?:;\n•*|-])\s*$")
+
+
+def _homograph(text: str, s: Span) -> bool:
+    """A single word that is a common one too, before a word in small letters."""
+    return text[s.start : s.end].lower() in _HOMOGRAPHS and re.match(r"\s+[a-z]{2,}", text[s.end : s.end + 20]) is not None
 
-LABELERS = ("shape", "left", "right", "gazetteer", "not_left", "not_right", "common", "form")
+
+LABELERS = ("shape", "left", "right", "gazetteer", "not_left", "not_right", "start", "form")
 
 
 def votes(text: str, s: Span) -> list[int]:
@@ -263,8 +248,6 @@ def votes(text: str, s: Span) -> list[int]:
         v["shape"] = 1 if (dialled and not known if phone else known) else -1
         v["left"] = 1 if (_PHONE_LEFT if phone else _ID_LEFT).search(left) else 0
         v["not_left"] = -1 if _NUMBER_NOT.search(left) or (_ID_LEFT if phone else _PHONE_LEFT).search(left) and not v["left"] else 0
-        v["right"] = 1 if (_PHONE_RIGHT if phone else _ID_RIGHT).match(right) else 0
-        v["not_right"] = -1 if (_ID_RIGHT if phone else _PHONE_RIGHT).match(right) else 0
         # Ten digits in a row may be anything; grouped digits say more.
         v["form"] = -1 if _DATE.match(body) else 1 if v["shape"] == 1 and not re.fullmatch(r"9+", s.shape) else 0
     elif s.kind == "address":
@@ -274,34 +257,51 @@ def votes(text: str, s: Span) -> list[int]:
         v["form"] = -1 if re.search(r"\b(?:19|20)\d\d\b", body) and s.shape == "at_the" else 0
     else:
         shapes = s.shape.replace(",", "")
-        v["gazetteer"] = 1 if re.search("[gGfF]", shapes) else 0
+        # A name that is a common word too is no evidence before a word in small letters.
+        common = _homograph(text, s)
+        v["gazetteer"] = 1 if re.search("[gGfF]", shapes) and not common else 0
         v["form"] = 1 if len(shapes) > 1 and re.search("[gG]", shapes) else 0
         v["left"] = 1 if _NAME_LEFT.search(left) else 0
         v["right"] = 1 if _NAME_RIGHT.match(right) else 0
         v["not_left"] = -1 if _NAME_NOT_LEFT.search(left) and not v["left"] else 0
         v["not_right"] = -1 if _NAME_NOT_RIGHT.match(right) and not v["right"] else 0
-        v["common"] = -1 if body.lower().split()[0] in _COMMON and not v["left"] and not v["right"] else 0
+        # Any word begins a sentence with a capital; one that is a name elsewhere says more.
+        v["start"] = -1 if shapes[0] in "C" and _SENTENCE_START.search(left) else -1 if common else 0
         # Capitals alone are names of places and firms as well.
         v["shape"] = -1 if not v["gazetteer"] and not v["left"] else 0
     return [v[x] for x in LABELERS]
 
 
-def _features(text: str, s: Span, v: list[int], bits: int) -> np.ndarray:
-    """Hashed features of a candidate: votes, shape, ends of its words, and the words around it."""
+def _context(text: str, s: Span) -> list[str]:
+    """The two tokens on either side of a candidate, by place and as pairs; digits are alike."""
     before = re.findall(r"\w+|[^\w\s]", text[max(0, s.start - 40) : s.start])[-2:]
     after = re.findall(r"\w+|[^\w\s]", text[s.end : s.end + 40])[:2]
     digits = lambda w: re.sub(r"\d", "9", w.lower())
+    names = [f"b{k}={digits(w)}" for k, w in zip((2, 1), [None] * (2 - len(before)) + before) if w]
+    names += [f"a{k}={digits(w)}" for k, w in zip((1, 2), after)]
+    if len(before) == 2:
+        names.append("bb=" + digits(" ".join(before)))
+    if len(after) == 2:
+        names.append("aa=" + digits(" ".join(after)))
+    return names
+
+
+def _hashed(kind: str, names: list[str], bits: int) -> np.ndarray:
+    mask = (1 << bits) - 1
+    return np.array([zlib.crc32(f"{kind}|{n}".encode()) & mask for n in names], np.int64)
+
+
+def _features(text: str, s: Span, v: list[int], bits: int) -> np.ndarray:
+    """Hashed features of a candidate: votes, shape, ends of its words, and the words around it."""
     body = text[s.start : s.end]
-    words = _WORD.findall(body)
-    names = [f"shape={s.shape if len(s.shape) < 20 else 'long'}", "any"]
+    names = [f"shape={s.shape if len(s.shape) < 20 else 'long'}", "any", *_context(text, s)]
     names += [f"{n}={x}" for n, x in zip(LABELERS, v)]
-    names += [f"b{k}={digits(w)}" for k, w in zip((2, 1), [None] * (2 - len(before)) + before) if w]
-    names += [f"a{k}={digits(w)}" for k, w in zip((1, 2), after)]
     if s.kind == "name":
+        words = _WORD.findall(body)
         names += [f"end={w.lower()[-3:]}" for w in words]
+        names += [f"w0={words[0].lower()}" if words else "w0="]
         names += [f"n={len(words)}", f"case={'u' if body.isupper() else 'l' if body.islower() else 'm'}"]
-    mask = (1 << bits) - 1
-    return np.array([zlib.crc32(f"{s.kind}|{n}".encode()) & mask for n in names], np.int64)
+    return _hashed(s.kind, names, bits)
 
 
 # ---------------------------------------------------------------- fitting
@@ -362,29 +362,59 @@ class Model:
         return sorted(taken)
 
 
+def _logistic(rows: list[np.ndarray], y: np.ndarray, cfg: FitConfig, rng: np.random.Generator) -> np.ndarray:
+    """Weights of a logistic classifier on hashed features with soft labels, by adaptive gradient steps."""
+    weights = np.zeros(1 << cfg.bits)
+    squares = np.full(1 << cfg.bits, 1e-8)
+    for _ in range(cfg.epochs):
+        for i in rng.permutation(y.size):
+            f = rows[i]
+            g = 1 / (1 + np.exp(-np.clip(weights[f].sum(), -30, 30))) - y[i]
+            squares[f] += g * g
+            weights[f] -= cfg.rate * (g / np.sqrt(squares[f]) + cfg.decay * weights[f])
+    return weights
+
+
+def _context_votes(rows: list[np.ndarray], p: np.ndarray, texts: np.ndarray, cfg: FitConfig, rng: np.random.Generator) -> np.ndarray:
+    """What the words around a candidate say, learned from the surer candidates of the other half of the texts."""
+    out = np.zeros(p.size, int)
+    for half in (0, 1):
+        sure = np.flatnonzero((texts % 2 != half) & ((p > 0.8) | (p < 0.2)))
+        asked = np.flatnonzero(texts % 2 == half)
+        if not sure.size or not asked.size:
+            continue
+        w = _logistic([rows[i] for i in sure], p[sure], cfg, rng)
+        z = np.array([w[rows[i]].sum() for i in asked])
+        out[asked] = np.where(z > 1.5, 1, np.where(z < -1.5, -1, 0))
+    return out
+
+
 def fit(texts: list[str], given: frozenset[str], family: frozenset[str], cfg: FitConfig = FitConfig()) -> Model:
-    """Fit the labelers' reliabilities and the span classifier on unlabelled texts."""
+    """Fit the labelers' reliabilities and the span classifier on unlabelled texts.
+
+    The first round of the general labelers teaches what stands around mentions of a kind; that context then
+    votes as a labeler of its own, for which no words are given, and the second round's probabilities train the
+    classifier.
+    """
     rng = np.random.default_rng(cfg.seed)
-    weights = np.zeros(1 << cfg.bits)
     rates: dict[str, np.ndarray] = {}
     rows: list[np.ndarray] = []
     target: list[float] = []
-    spans = [(t, s, votes(t, s)) for t in texts for s in candidates(t, given, family)]
+    spans = [(k, t, s, votes(t, s)) for k, t in enumerate(texts) for s in candidates(t, given, family)]
     for kind in KINDS:
-        own = [(t, s, v) for t, s, v in spans if s.kind == kind]
+        own = [x for x in spans if x[2].kind == kind]
         if not own:
             continue
-        p, rates[kind] = reliabilities(np.array([v for _, _, v in own]), cfg.iterations)
-        rows += [_features(t, s, v, cfg.bits) for t, s, v in own]
+        ballots = np.array([v for *_, v in own])
+        p, rates[kind] = reliabilities(ballots, cfg.iterations)
+        around = [_hashed(kind, ["any", *_context(t, s)], cfg.bits) for _, t, s, _ in own]
+        at = np.array([k for k, *_ in own])
+        for _ in range(cfg.rounds):
+            said = _context_votes(around, p, at, cfg, rng)
+            p, rates[kind] = reliabilities(np.column_stack([ballots, said]), cfg.iterations)
+        rows += [_features(t, s, v, cfg.bits) for _, t, s, v in own]
         target += p.tolist()
-    y = np.array(target)
-    squares = np.full(1 << cfg.bits, 1e-8)
-    for _ in range(cfg.epochs):
-        for i in rng.permutation(y.size):
-            f = rows[i]
-            g = 1 / (1 + np.exp(-np.clip(weights[f].sum(), -30, 30))) - y[i]
-            squares[f] += g * g
-            weights[f] -= cfg.rate * (g / np.sqrt(squares[f]) + cfg.decay * weights[f])
+    weights = _logistic(rows, np.array(target), cfg, rng) if rows else np.zeros(1 << cfg.bits)
     return Model(weights.astype(np.float32), given, family, cfg.bits, rates)
 
 

@@ -208,3 +208,26 @@ def test_undecided_texts_are_rejected(model):
     assert blank.segments("Tohle je věta v jazyce, který model nezná. A ještě jedna taková věta.") == []
     at, buckets = langid.features("𐐀𐐁𐐂 x", 14)
     assert 0 in at and buckets.size > 4  # letters beyond the basic plane are letters
+
+
+UNSEEN = [
+    ("Please ask for Ada Byron at the reception.", "name", "Ada Byron"), ("Send the contract to z9.y@quickmail.example please.", "email", "z9.y@quickmail.example"),
+    ("Best reached on +44 20 123456 before noon.", "phone", "+44 20 123456"), ("Parcel goes to 12 Kestrel Street, Ulmpur.", "address", "12 Kestrel Street"), ("Shown at the gate: passport 123-45-6789.", "id_number", "123-45-6789"),
+]
+
+
+@pytest.mark.parametrize("text,kind,item", UNSEEN)
+def test_sentences_that_no_code_knows(finder, text, kind, item):
+    text = text.replace("Ada Byron", f"{sorted(GIVEN)[0].title()} {sorted(FAMILY)[0].title()}") if kind == "name" else text
+    found = [(a, k) for a, _, k, _ in finder.mentions(text)]
+    at = text.index(item) if kind != "name" else text.index(sorted(GIVEN)[0].title())
+    assert (at, kind) in found
+
+
+def test_context_is_learned():
+    # The general labelers say nothing of the fourth number; what stands around the others does.
+    texts = [f"Tel. +44 20 {k:06d} is out of order." for k in range(100000, 100040)] + [f"{k:09d} is out of order." for k in range(7100000, 7100040)]
+    learned = pii.fit(texts * 3, frozenset(), frozenset())
+    blind = pii.fit(texts * 3, frozenset(), frozenset(), pii.FitConfig(rounds=0))
+    span = next(s for s in pii.candidates(texts[-1], frozenset(), frozenset()) if s.kind == "phone")
+    assert learned.score(texts[-1], span) > blind.score(texts[-1], span)
