@@ -287,6 +287,9 @@ def star_clusters(edges: DataFrame, weights: DataFrame, most_rounds: int = 50) -
         won = durable(centres.select("node", F.col("node").alias("centre")).unionByName(taken))
         done = done.unionByName(won)
         free = durable(free.join(won.select("node"), "node", "left_anti"))
+    else:
+        if not free.isEmpty():
+            raise RuntimeError(f"nodes are still free after {most_rounds} rounds")
     return done
 
 
