@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tables import build
 
 from recfuse.operators import fusion, identity, mapping, quality, validation
-from recfuse.operators.components import connected_components
+from recfuse.operators.components import connected_components, edge_mark
 from recfuse.operators.normalizing import NormalizationPipeline, normalize_skills, resolve_skills, skill_aliases
 from recfuse.operators.projection import MINIMAL, RECRUITER_VIEW, Projection, condition, project, to_output_json
 from recfuse.operators.registry import FieldRegistry
@@ -46,6 +46,14 @@ def test_components_against_union_find(spark):
     assert [tuple(r) for r in connected_components(none).collect()] == [(3, 3)]
 
 
+def test_mark_of_many_edges(spark):
+    # The sum of so many hashes of 40 bits is no long any more.
+    path = spark.range(1 << 25).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    n, h = edge_mark(path)
+    assert n == 1 << 25 and edge_mark(path.where("a <> 7"))[1] != h
+    assert edge_mark(path.repartition(3).where("a < 1000")) == edge_mark(path.where("a < 1000").orderBy(F.col("a").desc())) != edge_mark(path.where("a < 999"))
+
+
 def _golden(spark, tmp_path):
     f = tmp_path / "people.csv"
     f.write_text(
