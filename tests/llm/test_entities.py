@@ -233,6 +233,23 @@ def test_name_of_a_third_of_the_rows(spark):
     assert got == {(k, 1000 + k) for k in range(60)}
 
 
+def test_keys_of_many_entities_are_joined(spark):
+    pos = lambda c: (c, None, None, None, None, None)
+    # Of one company and one number, all surnames begin and end alike and differ by three letters or more: every key holds them all.
+    names = ["Byro" + x * 3 + y * 3 + "tone" for x in "bcdfghklmp" for y in "bcdfghklmp"]
+    r = [{"row_id": k, "first_name": "A.", "last_name": n, "phone": "+442346332989", "current_company": "Acme Foods AG"} for k, n in enumerate(names)]
+    a = [{"row_id": 1000 + k, "candidate_id": f"c{k}", "first_name": "Ada", "last_name": n, "phone": "0234 6332989", "current_position": pos("Acme Foods AG")} for k, n in enumerate(names)]
+    tables = build(spark, "recruiter_sample", r), build(spark, "ats_sample", a)
+    cfg = matching.MatchConfig(crowd=1)
+    assert cfg.most_in_key < 100
+    profiles = matching.recruiter_profiles(tables[0]).unionByName(matching.ats_profiles(tables[1]))
+    sets = matching._entity_sets(profiles, matching.entities(profiles, cfg))
+    met = matching.shared_keys(matching.keyed_entities(sets), sets.select("side", "entity", "handles"), cfg).groupBy("side_i", "side_j", "crowd").count().collect()
+    assert {tuple(x) for x in met} == {("r", "a", 100, 10000), ("r", "r", 100, 4950), ("a", "a", 100, 4950)}
+    got = {(x.recruiter_row_id, x.ats_row_id) for x in matching.match_people(*tables, cfg).collect()}
+    assert got == {(k, 1000 + k) for k in range(100)}
+
+
 def test_shared_address_says_less(spark):
     cfg = matching.MatchConfig()
     weights = [matching.email_weight(n, cfg) for n in (1, 2, 3, 10, 10**6)]
